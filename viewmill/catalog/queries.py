@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from viewmill.functions.dates import date_key, sk_date_for
 from viewmill.functions.text import url_authority
-from viewmill.operators.enrich import enrich, with_device, with_time, with_traffic
+from viewmill.operators.enrich import enrich, enrich_in_place, with_device, with_time, with_traffic
 from viewmill.operators.geo import geo_lookup
 from viewmill.operators.merge import add_column_if_missing, first_per_key, insert_if_absent, upsert
 from viewmill.operators.quality import duplicate_keys, freshness, orphans, overlong_values, split_valid
@@ -77,6 +77,15 @@ def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(_views(spark, sf_dir), td.ip_ranges(spark, sf_dir), td.INTERNAL_KEYWORDS)
 
 
+def _enriched_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For results that need no location, which thus need no lookup either."""
+    return enrich_in_place(_views(spark, sf_dir), td.INTERNAL_KEYWORDS)
+
+
+def _enriched_for(name: str) -> Query:
+    return _enriched if name == "dim_location" else _enriched_in_place
+
+
 def _records(raw: DataFrame) -> DataFrame:
     """Events as a message queue would deliver them: JSON bytes in ``value``."""
     return raw.select(F.to_json(F.struct(*EVENT_FIELDS)).cast("binary").alias("value"))
@@ -175,22 +184,21 @@ def sk_date_of_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dimension(name: str) -> Query:
-    return lambda spark, sf_dir: portable(dimension(_enriched(spark, sf_dir), name))
+    return lambda spark, sf_dir: portable(dimension(_enriched_for(name)(spark, sf_dir), name))
 
 
 def fact_product_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_views(_enriched(spark, sf_dir))
 
 
-def _two_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Enriched views of an early load, and of a later one that repeats them and adds the rest."""
-    enriched = _enriched(spark, sf_dir)
+def _two_loads(enriched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The views of an early load, and those of a later one that repeats them and adds the rest."""
     return enriched.filter(F.col("local_time") < FIRST_LOAD_UNTIL), enriched
 
 
 def _dimension_insert(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        early, later = _two_loads(spark, sf_dir)
+        early, later = _two_loads(_enriched_for(name)(spark, sf_dir))
         stored = dimension(early, name).withColumn("load", F.lit(1))
         source = dimension(later, name).withColumn("load", F.lit(2))
         return portable(insert_if_absent(stored, source, DIMENSIONS[name].key))
@@ -199,7 +207,7 @@ def _dimension_insert(name: str) -> Query:
 
 
 def fact_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    early, later = _two_loads(spark, sf_dir)
+    early, later = _two_loads(_enriched(spark, sf_dir))
     stored = fact_views(early).withColumn("load", F.lit(1))
     source = fact_views(later).withColumn("load", F.lit(2))
     return insert_if_absent(stored, source, ["view_id"])
@@ -321,8 +329,9 @@ def rejected_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facts whose minute of day is missing in a dimension that stopped at the early load."""
-    early, later = _two_loads(spark, sf_dir)
-    return orphans(fact_views(later), dimension(early, "dim_time"), "sk_time").select("view_id", "sk_time")
+    store = stored_star(spark, sf_dir)
+    early, _ = _two_loads(_enriched_in_place(spark, sf_dir))
+    return orphans(_fact(store), dimension(early, "dim_time"), "sk_time").select("view_id", "sk_time")
 
 
 def overlong(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,7 +355,6 @@ def _stream_into(store: StarStore, spark: SparkSession, sf_dir: str) -> None:
         store,
         records,
         scratch_dir(spark, "offsets"),
-        "events",
         td.ip_ranges(spark, sf_dir),
         td.INTERNAL_KEYWORDS,
         trigger={"availableNow": True},
@@ -376,12 +384,12 @@ def stream_star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream, then its first batch once more, then all views again as a new batch."""
+    """A batch, the same batch delivered again, then all of it once more through a stream."""
     store = StarStore(spark, scratch_dir(spark, "replayed")).init()
-    _stream_into(store, spark, sf_dir)
     views, ranges = _views(spark, sf_dir), td.ip_ranges(spark, sf_dir)
-    for batch_id in (0, 1):
-        load_batch(store, views, "events", batch_id, ranges, td.INTERNAL_KEYWORDS)
+    for _ in range(2):
+        load_batch(store, views, "replayed", 0, ranges, td.INTERNAL_KEYWORDS)
+    _stream_into(store, spark, sf_dir)
     return _star_rows(store)
 
 

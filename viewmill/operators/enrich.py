@@ -91,6 +91,12 @@ def with_keys(views: DataFrame, keys: Iterable[str] = tuple(SURROGATE_KEYS)) ->
     return views.withColumns({k: surrogate_key(*[F.col(c) for c in SURROGATE_KEYS[k]]) for k in keys})
 
 
+def enrich_in_place(views: DataFrame, internal_keywords: Iterable[str]) -> DataFrame:
+    """All enrichments that need no other table, thus everything but the location."""
+    keys = [k for k in SURROGATE_KEYS if k != "sk_location"]
+    return with_keys(with_time(with_traffic(with_device(views), internal_keywords)), keys)
+
+
 def enrich(
     views: DataFrame,
     ranges: DataFrame,
@@ -98,5 +104,5 @@ def enrich(
     broadcast_ranges: bool | None = None,
 ) -> DataFrame:
     """All enrichments in one narrow pass: no shuffle while the range table can be broadcast."""
-    tagged = with_traffic(with_device(views), internal_keywords)
-    return with_keys(with_time(with_location(tagged, ranges, broadcast_ranges)))
+    located = with_location(enrich_in_place(views, internal_keywords), ranges, broadcast_ranges)
+    return with_keys(located, ["sk_location"])

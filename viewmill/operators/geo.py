@@ -1,9 +1,12 @@
 """Point-in-range lookup of IP addresses.
 
 ``view.ip BETWEEN range.ip_from AND range.ip_to`` alone can only run as a nested loop. Cutting the
-address space into /16 blocks adds an equality: a range is listed once per block it touches, an
-address lies in one block. Ranges do not overlap, so the listing grows by at most one row per block
-(65,536) however wide they are.
+address space into /20 blocks adds an equality: a range is listed once per block it touches, an
+address lies in one block. Ranges do not overlap, so
+
+* the listing is at most one row per block (2**20) longer than the range table, however wide ranges are;
+* an address is compared with the ranges of its block only, 4,096 at the very most and a handful in a
+  table of some million ranges. Wider blocks would be cheaper to list but dearer to search.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from viewmill.functions.text import is_blank
 from viewmill.operators.sizing import fits_broadcast
 from viewmill.schemas import ERROR, LOCATION_FIELDS, UNKNOWN
 
-BLOCK_BITS = 16
+BLOCK_BITS = 12
 _LAST_IPV4 = 2**32 - 1
 _NO_BLOCK = -1
 
@@ -26,7 +29,7 @@ ROWS_PER_SPLIT = 1_000_000
 
 
 def range_blocks(ranges: DataFrame) -> DataFrame:
-    """``ranges`` listed once per /16 block they touch, with the block number in ``_block``."""
+    """``ranges`` listed once per block they touch, with the block number in ``_block``."""
     low = F.greatest(F.col("ip_from"), F.lit(0))
     high = F.least(F.col("ip_to"), F.lit(_LAST_IPV4))
     return (
@@ -39,7 +42,7 @@ def range_blocks(ranges: DataFrame) -> DataFrame:
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     """Ranges that start inside an earlier one; a usable table has none.
 
-    Checked per /16 block, so that the sort is spread over the cluster.
+    Checked per block, so that the sort is spread over the cluster.
     """
     earlier = W.partitionBy("_block").orderBy("ip_from", "ip_to").rowsBetween(W.unboundedPreceding, -1)
     return (
@@ -51,6 +54,18 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     )
 
 
+def ranges_fit_broadcast(ranges: DataFrame) -> bool:
+    """Whether the listing of ``ranges`` per block is small enough for every executor to hold."""
+    return fits_broadcast(range_blocks(ranges))
+
+
+def assert_disjoint(ranges: DataFrame) -> None:
+    """Raise ``ValueError`` if an address could be found twice."""
+    found = overlapping_ranges(ranges).take(1)
+    if found:
+        raise ValueError(f"overlapping IP ranges, for example {found[0].asDict()}")
+
+
 def _location(name: str) -> Column:
     """One output field: blank address and no hit are UNKNOWN, unreadable is ERROR, "-" is UNKNOWN."""
     found = F.col(f"_range.{name}")
@@ -69,7 +84,8 @@ def geo_lookup(
     broadcast: bool | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Add country, region and city of ``views.ip``; every view is kept and none is repeated.
+    """Add country, region and city of ``views.ip``; every view is kept and, as ranges are disjoint
+    (see ``assert_disjoint``), none is repeated.
 
     Unless ``broadcast`` says so already, the range table is measured. If it is small it is broadcast
     and the views are never shuffled. If not, both sides are shuffled by block, and the blocks are split by their exact
@@ -85,7 +101,7 @@ def geo_lookup(
     match = (F.col("_view_block") == F.col("_block")) & F.col("_number").between(
         F.col("ip_from"), F.col("ip_to")
     )
-    if fits_broadcast(ranges) if broadcast is None else broadcast:
+    if ranges_fit_broadcast(ranges) if broadcast is None else broadcast:
         joined = probe.join(F.broadcast(blocks), match, "left")
     else:
         joined = _split_join(probe, blocks, match, rows_per_split)
@@ -94,7 +110,7 @@ def geo_lookup(
 
 def _split_join(probe: DataFrame, blocks: DataFrame, match: Column, rows_per_split: int) -> DataFrame:
     """Shuffle join in which each block is spread over as many tasks as its view count asks for."""
-    # At most 65,537 rows whatever the input, because a block number has 16 bits.
+    # At most 2**20 + 1 pairs of numbers whatever the input, because a block number has 20 bits.
     splits = probe.groupBy(F.col("_view_block").alias("_counted")).agg(
         F.ceil(F.count(F.lit(1)) / rows_per_split).cast("bigint").alias("_splits")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from viewmill.operators.enrich import enrich
 from viewmill.operators.merge import absent_rows, first_per_key
 from viewmill.operators.quality import reject_reason
-from viewmill.schemas import DIMENSIONS, FACT, FACT_KEYS, REJECTED, VIEW_MAX_LENGTH, VIEW_REQUIRED
+from viewmill.schemas import DIMENSIONS, FACT, FACT_KEYS, MARTS, REJECTED, VIEW_MAX_LENGTH, VIEW_REQUIRED
 from viewmill.session import scratch_dir
 from viewmill.sources.store import StarStore, days_between
 
@@ -103,8 +103,8 @@ def _stage(store: StarStore, judged: DataFrame, staged: bool):
     """The enriched views evaluated once, since nine writes read them; and how to let go of them."""
     if staged:
         path = scratch_dir(store.spark, "views")
-        judged.write.mode("overwrite").parquet(path)
-        return store.spark.read.schema(judged.schema).parquet(path), lambda: None
+        judged.write.parquet(path)
+        return store.spark.read.schema(judged.schema).parquet(path), lambda: store.drop_folder(path)
     kept = judged.persist(StorageLevel.MEMORY_AND_DISK)
     return kept, kept.unpersist
 
@@ -146,3 +146,24 @@ def _load_fact(store, valid, load_id, size, options, inserted_at) -> dict[str, i
     new = absent_rows(fact_views(valid), stored, FACT.key)
     now = F.current_timestamp() if inserted_at is None else F.lit(inserted_at)
     return _insert(store, FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
+
+
+def compact_into(store: StarStore, target: StarStore) -> dict[str, int]:
+    """Copy a star into the empty ``target`` as one load of well-sized files.
+
+    Frequent small loads leave many small files behind; readers switch to ``target`` when it is
+    done. The copy also settles what ``horizon_days`` left open: of facts with one ``view_id`` on
+    distant days, the one inserted first is kept.
+    """
+    target.init()
+    load_id = "compacted"
+    done = {}
+    for name in DIMENSIONS:
+        rows = first_per_key(store.table(name), DIMENSIONS[name].key)
+        done |= _insert(target, name, rows, load_id)
+    facts = first_per_key(store.table(FACT.name), FACT.key, ["inserted_at"])
+    done |= _insert(target, FACT.name, facts, load_id)
+    done |= _insert(target, REJECTED.name, store.table(REJECTED.name), load_id)
+    for name in MARTS:
+        target.write_days(name, store.table(name))
+    return done

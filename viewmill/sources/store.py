@@ -53,12 +53,20 @@ class StarStore:
         reader = self.spark.read.schema(TABLES[name].stored_schema).option("basePath", self.path(name))
         return reader.parquet(folders)
 
-    def _exists(self, pattern: str) -> bool:
-        """Whether any folder matches, asked of the file system the table lives on."""
+    def _files(self, pattern: str):
+        """A Hadoop path and the file system it lives on."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, pattern: str) -> bool:
+        path, files = self._files(pattern)
         return bool(files.globStatus(path))
 
+    def drop_folder(self, folder: str) -> None:
+        """Delete an intermediate table."""
+        path, files = self._files(folder)
+        files.delete(path, True)
+
     def table(self, name: str) -> DataFrame:
         """The declared columns of a table, without storage bookkeeping."""
         return self.read(name).select(*TABLES[name].columns)

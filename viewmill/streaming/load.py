@@ -9,7 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from viewmill.operators.sizing import fits_broadcast
+from viewmill.operators.geo import assert_disjoint, ranges_fit_broadcast
 from viewmill.plans.star import LoadOptions, load_star
 from viewmill.schemas import PRODUCT_VIEW
 from viewmill.sources.events import views_from_records
@@ -17,6 +17,9 @@ from viewmill.sources.store import StarStore
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 
+# Where Spark tells a micro-batch the id of its streaming query.
+QUERY_ID = "sql.streaming.queryId"
+
 
 def load_batch(
     store: StarStore,
@@ -35,7 +38,6 @@ def start_star_stream(
     store: StarStore,
     records: DataFrame,
     checkpoint: str,
-    run_id: str,
     ranges: DataFrame,
     internal_keywords: Iterable[str],
     trigger: Mapping[str, object] = DEFAULT_TRIGGER,
@@ -48,19 +50,21 @@ def start_star_stream(
     loaded as an ordinary batch. Offsets are kept under ``checkpoint``. After a crash the last batch is
     delivered again with the same id and replaces its own rows, so every view is stored once.
 
-    ``run_id`` names the stream and goes with its checkpoint: batch ids restart with a new checkpoint,
-    so a new checkpoint needs a new ``run_id``. End a job with ``query.awaitTermination()``.
+    Loads are named after the query id, which Spark keeps in the checkpoint: with a new checkpoint
+    batch ids restart, but never under the name of an older load. End a job with
+    ``query.awaitTermination()``.
     """
+    assert_disjoint(ranges)
     keywords = tuple(internal_keywords)
     if options.broadcast_ranges is None:
-        options = replace(options, broadcast_ranges=fits_broadcast(ranges))
+        options = replace(options, broadcast_ranges=ranges_fit_broadcast(ranges))
     # Read once for all batches; a lost executor's part is read again.
     lookup = ranges.persist(StorageLevel.MEMORY_AND_DISK)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_batch(
-            StarStore(batch.sparkSession, store.root), batch, run_id, batch_id, lookup, keywords, options
-        )
+        query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        target = StarStore(batch.sparkSession, store.root)
+        load_batch(target, batch, query_id, batch_id, lookup, keywords, options)
 
     return (
         views_from_records(records, kind)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 from tests.helpers import rows
-from viewmill.operators.merge import add_column_if_missing, first_per_key, insert_if_absent, upsert
+from viewmill.operators.merge import add_column_if_missing, distinct_per_key, first_per_key, insert_if_absent, upsert
 
 
 def test_first_per_key_takes_the_smallest(spark):
@@ -15,6 +15,13 @@ def test_first_per_key_takes_the_smallest(spark):
     assert rows(first_per_key(df.select("k"), ["k"])) == [("a",), ("b",)]
 
 
+def test_distinct_per_key_gives_the_same(spark):
+    data = [("a", None, "x"), ("a", 1, "x"), ("a", None, "y"), ("b", 1, None), ("b", 1, None), ("b", 0, "z")]
+    df = spark.createDataFrame(data * 20, "k string, n int, v string")
+    assert rows(distinct_per_key(df, ["k"])) == rows(first_per_key(df, ["k"]))
+    assert rows(distinct_per_key(df.select("k"), ["k"])) == [("a",), ("b",)]
+
+
 def test_first_per_key_does_not_depend_on_layout(spark):
     data = [(i % 7, random.Random(i).randrange(50), i) for i in range(300)]
     expected = None

@@ -63,21 +63,26 @@ def with_traffic(
     ``internal_keywords`` (the shop's own brand). Without a referrer the visit is direct.
     """
     page, referrer = F.col("current_url"), F.col("referrer_url")
-    domains = views.withColumns(
-        {
-            "domain": F.when(is_blank(page), F.lit(UNKNOWN)).otherwise(url_authority(page)),
-            "referrer_domain": F.when(is_blank(referrer), F.lit("DIRECT")).otherwise(
-                blank_to(url_authority(referrer), UNKNOWN)
-            ),
-        }
-    )
+    # The authorities get columns of their own, so that each is extracted once.
+    found = views.withColumns({"_page": url_authority(page), "_referrer": url_authority(referrer)})
     source = F.lower("referrer_domain")
-    return domains.withColumn(
-        "traffic_type",
-        F.when(is_blank(referrer), "Direct")
-        .when(contains_any(source, social_keywords), "Social/Search")
-        .when(contains_any(source, internal_keywords), "Internal")
-        .otherwise("Referral"),
+    return (
+        found.withColumns(
+            {
+                "domain": F.when(is_blank(page), F.lit(UNKNOWN)).otherwise(F.col("_page")),
+                "referrer_domain": F.when(is_blank(referrer), F.lit("DIRECT")).otherwise(
+                    blank_to(F.col("_referrer"), UNKNOWN)
+                ),
+            }
+        )
+        .withColumn(
+            "traffic_type",
+            F.when(is_blank(referrer), "Direct")
+            .when(contains_any(source, social_keywords), "Social/Search")
+            .when(contains_any(source, internal_keywords), "Internal")
+            .otherwise("Referral"),
+        )
+        .drop("_page", "_referrer")
     )
 
 
@@ -94,7 +99,7 @@ def with_keys(views: DataFrame, keys: Iterable[str] = tuple(SURROGATE_KEYS)) ->
 def enrich_in_place(views: DataFrame, internal_keywords: Iterable[str]) -> DataFrame:
     """All enrichments that need no other table, thus everything but the location."""
     keys = [k for k in SURROGATE_KEYS if k != "sk_location"]
-    return with_keys(with_time(with_traffic(with_device(views), internal_keywords)), keys)
+    return with_keys(with_traffic(with_time(with_device(views)), internal_keywords), keys)
 
 
 def enrich(
@@ -103,6 +108,9 @@ def enrich(
     internal_keywords: Iterable[str],
     broadcast_ranges: bool | None = None,
 ) -> DataFrame:
-    """All enrichments in one narrow pass: no shuffle while the range table can be broadcast."""
-    located = with_location(enrich_in_place(views, internal_keywords), ranges, broadcast_ranges)
-    return with_keys(located, ["sk_location"])
+    """All enrichments in one narrow pass: no shuffle while the range table can be broadcast.
+
+    The location comes first, while rows are still short.
+    """
+    located = with_location(views, ranges, broadcast_ranges)
+    return enrich_in_place(with_keys(located, ["sk_location"]), internal_keywords)

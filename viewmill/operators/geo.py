@@ -94,17 +94,15 @@ def geo_lookup(
     blocks = range_blocks(ranges).select(
         "_block", "ip_from", "ip_to", F.struct(*LOCATION_FIELDS).alias("_range")
     )
-    # Addresses without a number go to a block of their own that no range has.
-    probe = views.withColumn("_number", ipv4_number(F.col("ip"))).withColumn(
-        "_view_block", F.coalesce(F.shiftright("_number", BLOCK_BITS), F.lit(_NO_BLOCK))
-    )
-    match = (F.col("_view_block") == F.col("_block")) & F.col("_number").between(
-        F.col("ip_from"), F.col("ip_to")
-    )
+    probe = views.withColumn("_number", ipv4_number(F.col("ip")))
+    block = F.shiftright("_number", BLOCK_BITS)
+    inside = F.col("_number").between(F.col("ip_from"), F.col("ip_to"))
     if ranges_fit_broadcast(ranges) if broadcast is None else broadcast:
-        joined = probe.join(F.broadcast(blocks), match, "left")
+        joined = probe.join(F.broadcast(blocks), (block == F.col("_block")) & inside, "left")
     else:
-        joined = _split_join(probe, blocks, match, rows_per_split)
+        # Addresses without a number go to a block of their own that no range has.
+        probe = probe.withColumn("_view_block", F.coalesce(block, F.lit(_NO_BLOCK)))
+        joined = _split_join(probe, blocks, (F.col("_view_block") == F.col("_block")) & inside, rows_per_split)
     return joined.select(*views.columns, *[_location(name).alias(name) for name in LOCATION_FIELDS])
 
 

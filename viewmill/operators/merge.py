@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -23,6 +24,18 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ())
     return smallest.select(*[c if c in keys else F.col(f"_first.{c}") for c in df.columns])
 
 
+def distinct_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The result of :func:`first_per_key` for a source with few distinct rows.
+
+    Equal rows are folded by a hash aggregate in every task; only what is left is shuffled and
+    sorted. (A minimum on top of ``distinct`` would not do: Spark then drops the ``distinct`` as
+    redundant and sorts all rows.)
+    """
+    rest = [c for c in df.columns if c not in keys]
+    order = W.partitionBy(*keys).orderBy(*(rest or keys))
+    return df.distinct().withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
+
+
 def absent_rows(source: DataFrame, stored_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``source`` whose key is not stored. Keys must not be NULL (see ``split_valid``)."""
     return source.join(stored_keys.select(*keys), list(keys), "left_anti")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from viewmill.operators.enrich import enrich
-from viewmill.operators.merge import absent_rows, first_per_key
+from viewmill.operators.merge import absent_rows, distinct_per_key, first_per_key
 from viewmill.operators.quality import reject_reason
 from viewmill.schemas import DIMENSIONS, FACT, FACT_KEYS, MARTS, REJECTED, VIEW_MAX_LENGTH, VIEW_REQUIRED
 from viewmill.session import scratch_dir
@@ -25,13 +25,9 @@ BROADCAST_VIEW_IDS = 500_000
 
 
 def dimension(enriched: DataFrame, name: str) -> DataFrame:
-    """The rows of one dimension, one per key.
-
-    Equal rows are folded by a hash aggregate in each task first, so the shuffle and the pick
-    between differing rows of one key only see distinct attribute combinations.
-    """
+    """The rows of one dimension, one per key."""
     table = DIMENSIONS[name]
-    return first_per_key(enriched.select(*table.columns).distinct(), table.key)
+    return distinct_per_key(enriched.select(*table.columns), table.key)
 
 
 def fact_views(enriched: DataFrame) -> DataFrame:
@@ -159,7 +155,7 @@ def compact_into(store: StarStore, target: StarStore) -> dict[str, int]:
     load_id = "compacted"
     done = {}
     for name in DIMENSIONS:
-        rows = first_per_key(store.table(name), DIMENSIONS[name].key)
+        rows = distinct_per_key(store.table(name), DIMENSIONS[name].key)
         done |= _insert(target, name, rows, load_id)
     facts = first_per_key(store.table(FACT.name), FACT.key, ["inserted_at"])
     done |= _insert(target, FACT.name, facts, load_id)

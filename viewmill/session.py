@@ -16,9 +16,18 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The JVM never compiles methods beyond 8,000 bytes, and the fused code of all enrichments is
+    # longer than that. With this limit Spark generates it operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Give an existing session :data:`SETTINGS`, all of which may change at run time."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+
+
 def build_session(app: str = "viewmill", master: str | None = None, **extra: str) -> SparkSession:
     """A session with :data:`SETTINGS`; ``extra`` holds further ``spark.…`` settings."""
     builder = SparkSession.builder.appName(app)

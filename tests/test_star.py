@@ -107,6 +107,7 @@ def test_invalid_views_are_kept_aside(store):
     assert sorted(r for (r,) in rows(store.table("rejected_views"), "reason")) == sorted(r for _, r in INVALID)
     load(store, "a", {}, *[change for change, _ in INVALID])
     assert store.table("rejected_views").count() == 6
+    assert rows(store.table("rejected_views"), "ip", "collection") == [("10.0.0.1", "view_product_detail")] * 6
 
 
 def test_too_long_country_code(store, spark):

@@ -64,14 +64,14 @@ def test_stream_equals_batch_for_any_split(spark, tmp_path):
 
 def test_restart_goes_on_from_the_checkpoint(spark, store, tmp_path, monkeypatch):
     seen = []
-    real = streaming.load_batch
+    real = streaming.load_enriched
 
     def watched(*args):
         done = real(*args)
         seen.append(done["views"])
         return done
 
-    monkeypatch.setattr(streaming, "load_batch", watched)
+    monkeypatch.setattr(streaming, "load_enriched", watched)
     write(tmp_path / "in", "1.json", [DEFAULT_EVENT, {**DEFAULT_EVENT, "id": "v2"}])
     run(spark, store, tmp_path / "in", tmp_path / "offsets")
     write(tmp_path / "in", "2.json", [{**DEFAULT_EVENT, "id": "v3"}, {**DEFAULT_EVENT, "product_id": "again"}])
@@ -108,6 +108,13 @@ def test_lost_checkpoint_stores_nothing_twice(spark, store, tmp_path):
     assert rows(store.table(FACT), "view_id") == [("v1",), ("v2",)]
 
 
+def test_ranges_too_big_to_broadcast(spark, store, tmp_path):
+    write(tmp_path / "in", "1.json", [DEFAULT_EVENT, {**DEFAULT_EVENT, "id": "v2", "ip": "9.9.9.9"}])
+    run(spark, store, tmp_path / "in", tmp_path / "offsets", options=LoadOptions(broadcast_ranges=False))
+    assert sorted(c for (c,) in rows(store.table("dim_location"), "country_code")) == ["HM", "UNKNOWN"]
+    assert store.table(FACT).count() == 2
+
+
 def test_invalid_views_do_not_stop_the_stream(spark, store, tmp_path):
     write(tmp_path / "in", "1.json", [DEFAULT_EVENT, {**DEFAULT_EVENT, "id": None}])
     run(spark, store, tmp_path / "in", tmp_path / "offsets")

@@ -28,7 +28,7 @@ from viewmill.session import scratch_dir
 from viewmill.sources import events as ev
 from viewmill.sources import testdata as td
 from viewmill.sources.store import StarStore
-from viewmill.streaming.load import load_batch, start_star_stream
+from viewmill.streaming.load import start_star_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -388,7 +388,7 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = StarStore(spark, scratch_dir(spark, "replayed")).init()
     views, ranges = _views(spark, sf_dir), td.ip_ranges(spark, sf_dir)
     for _ in range(2):
-        load_batch(store, views, "replayed", 0, ranges, td.INTERNAL_KEYWORDS)
+        load_star(store, views, "replayed", ranges, td.INTERNAL_KEYWORDS)
     _stream_into(store, spark, sf_dir)
     return _star_rows(store)
 

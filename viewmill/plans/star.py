@@ -15,7 +15,15 @@ from pyspark.sql import functions as F
 from viewmill.operators.enrich import enrich
 from viewmill.operators.merge import absent_rows, distinct_per_key, first_per_key
 from viewmill.operators.quality import reject_reason
-from viewmill.schemas import DIMENSIONS, FACT, FACT_KEYS, MARTS, REJECTED, VIEW_MAX_LENGTH, VIEW_REQUIRED
+from viewmill.schemas import (
+    DIMENSIONS,
+    FACT,
+    FACT_KEYS,
+    MARTS,
+    REJECTED,
+    VIEW_MAX_LENGTH,
+    VIEW_REQUIRED,
+)
 from viewmill.session import scratch_dir
 from viewmill.sources.store import StarStore, days_between
 
@@ -23,6 +31,9 @@ from viewmill.sources.store import StarStore, days_between
 # the stored ones; beyond it the stored ids are shuffled.
 BROADCAST_VIEW_IDS = 500_000
 
+# Event fields no table but that of rejected views has.
+REJECT_ONLY = ("ip", "user_agent", "current_url", "referrer_url", "collection")
+
 
 def dimension(enriched: DataFrame, name: str) -> DataFrame:
     """The rows of one dimension, one per key."""
@@ -64,14 +75,27 @@ def load_star(
     options: LoadOptions = LoadOptions(),
     inserted_at: datetime | None = None,
 ) -> dict[str, int]:
-    """Insert what is new in ``views`` into the star; returns the number of rows inserted per table.
+    """Enrich ``views`` and load them, see :func:`load_enriched`."""
+    enriched = enrich(views, ranges, internal_keywords, options.broadcast_ranges)
+    return load_enriched(store, enriched, load_id, options, inserted_at)
+
+
+def load_enriched(
+    store: StarStore,
+    enriched: DataFrame,
+    load_id: str,
+    options: LoadOptions = LoadOptions(),
+    inserted_at: datetime | None = None,
+) -> dict[str, int]:
+    """Insert what is new in enriched views into the star; returns the rows inserted per table.
 
     Rows already stored by other loads win. Dimensions are written before facts, so facts never point
     to nothing. There is no transaction over several tables; instead a load that failed half-way is
     simply repeated under its ``load_id`` and rewrites its own files with the same rows.
     """
-    enriched = enrich(views, ranges, internal_keywords, options.broadcast_ranges)
     judged = enriched.withColumn("reason", reject_reason(VIEW_REQUIRED, VIEW_MAX_LENGTH))
+    # The long texts of an event are of use for rejected views only; valid ones are kept without.
+    judged = judged.withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in REJECT_ONLY})
     judged, release = _stage(store, judged, options.staged)
     try:
         size = judged.agg(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +38,13 @@ class StarStore:
 
     def init(self) -> StarStore:
         """Create every table that does not exist yet; existing ones are left alone."""
-        for table in TABLES.values():
+
+        def create(table: Table) -> None:
             empty = self.spark.createDataFrame([], table.stored_schema)
             empty.write.mode("ignore").partitionBy(*table.partitions).parquet(self.path(table.name))
+
+        with ThreadPoolExecutor(len(TABLES)) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(create), TABLES.values()))
         return self
 
     def read(self, name: str) -> DataFrame:

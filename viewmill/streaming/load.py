@@ -9,8 +9,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from viewmill.operators.enrich import enrich
 from viewmill.operators.geo import assert_disjoint, ranges_fit_broadcast
-from viewmill.plans.star import LoadOptions, load_star
+from viewmill.plans.star import LoadOptions, load_enriched
 from viewmill.schemas import PRODUCT_VIEW
 from viewmill.sources.events import views_from_records
 from viewmill.sources.store import StarStore
@@ -21,17 +22,9 @@ DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
 QUERY_ID = "sql.streaming.queryId"
 
 
-def load_batch(
-    store: StarStore,
-    views: DataFrame,
-    run_id: str,
-    batch_id: int,
-    ranges: DataFrame,
-    internal_keywords: Iterable[str],
-    options: LoadOptions = LoadOptions(),
-) -> dict[str, int]:
-    """Load one micro-batch. Repeating a batch id replaces what that batch has written."""
-    return load_star(store, views, f"{run_id}-{batch_id:09d}", ranges, internal_keywords, options)
+def load_id_of(run_id: str, batch_id: int) -> str:
+    """The name under which a micro-batch is stored; the same one when it is delivered again."""
+    return f"{run_id}-{batch_id:09d}"
 
 
 def start_star_stream(
@@ -46,8 +39,9 @@ def start_star_stream(
 ) -> StreamingQuery:
     """Start loading ``records`` (a stream with a ``value`` column) into the star.
 
-    Only decoding, parsing and filtering are part of the streaming plan; each micro-batch is then
-    loaded as an ordinary batch. Offsets are kept under ``checkpoint``. After a crash the last batch is
+    While the range table can be broadcast, enrichment is part of the streaming plan, which is built
+    once. A bigger table is joined within each micro-batch, since that join counts the views first.
+    Offsets are kept under ``checkpoint``. After a crash the last batch is
     delivered again with the same id and replaces its own rows, so every view is stored once.
 
     Loads are named after the query id, which Spark keeps in the checkpoint: with a new checkpoint
@@ -56,19 +50,24 @@ def start_star_stream(
     """
     assert_disjoint(ranges)
     keywords = tuple(internal_keywords)
-    if options.broadcast_ranges is None:
-        options = replace(options, broadcast_ranges=ranges_fit_broadcast(ranges))
+    broadcast = options.broadcast_ranges
+    if broadcast is None:
+        broadcast = ranges_fit_broadcast(ranges)
+    options = replace(options, broadcast_ranges=broadcast)
     # Read once for all batches; a lost executor's part is read again.
     lookup = ranges.persist(StorageLevel.MEMORY_AND_DISK)
+    stream = views_from_records(records, kind)
+    if broadcast:
+        stream = enrich(stream, lookup, keywords, broadcast)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
         target = StarStore(batch.sparkSession, store.root)
-        load_batch(target, batch, query_id, batch_id, lookup, keywords, options)
+        enriched = batch if broadcast else enrich(batch, lookup, keywords, broadcast)
+        load_enriched(target, enriched, load_id_of(query_id, batch_id), options)
 
     return (
-        views_from_records(records, kind)
-        .writeStream.outputMode("append")
+        stream.writeStream.outputMode("append")
         .foreachBatch(load)
         .trigger(**trigger)
         .option("checkpointLocation", checkpoint)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewmill.llm.common import column, with_key
+from viewmill.llm.common import column, staged, with_key
 
 
 @dataclass(frozen=True)
@@ -118,7 +118,8 @@ def findings_by_path(
     """One row per row of ``versions``: ``id``, ``blob``, ``findings`` (rule name, start, end in code points).
 
     Findings are ordered by start, then by the order of ``rules``, then by end. Only findings of the given rule
-    versions count. Contents without findings take no part in the join; one with many paths is split by Spark.
+    versions count. Contents with findings are written first: the join then is between two plain tables, so Spark can
+    split a content with very many paths, or broadcast what it has measured to be small.
     Null ids are kept; a null text has the empty content; repeated rows get a row each; no rows, no rows.
     """
     place = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.key, i)])
@@ -130,6 +131,7 @@ def findings_by_path(
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set("f")).alias("f"))
     )
+    found = staged(found, "findings")
     keyed = with_key(versions, id_column, text_column).select("id", blob_id(F.col("text")).alias("blob"))
     findings = F.transform(
         "f", lambda x: F.struct(F.get(names, x.place).alias("rule"), x.start.alias("start"), x.end.alias("end"))

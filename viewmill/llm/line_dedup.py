@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewmill.llm.common import BLANKS, ascii_lower, join_documents, two_hashes, unpacked, with_key, without_positions
+from viewmill.llm.common import BLANKS, ascii_lower, join_documents, staged, two_hashes, unpacked, with_key, without_positions
 
 MIN_CHARS, MIN_DOCS = 20, 3
 
@@ -47,6 +47,8 @@ def drop_repeated_lines(
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "keeper")
     )
+    # Written, so that the join is between two plain tables: Spark can split a line with very many documents there.
+    frequent = staged(frequent, "frequent")
     dropped = (
         lines.join(frequent, ["h1", "h2"])
         .where(~F.col("id").eqNullSafe(F.col("keeper")))

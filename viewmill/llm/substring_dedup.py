@@ -10,12 +10,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewmill.llm.common import join_documents, with_key
+from viewmill.llm.common import join_documents, staged, with_key
 from viewmill.llm.words import covered, slice_hashes, word_groups
 
 WINDOW, MINIMISER = 35, 8
 #: Windows of a minimiser with more positions than this travel alone, each to the bucket of its own hash.
-HOT = 5000
+HOT = 1000
 #: Rows of whole buckets that are sorted at a time.
 SORT_ROWS = 20_000
 _FACTORS = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xD6E8FEB86659FD93)
@@ -269,6 +269,8 @@ def remove_repeated_passages(
         _runs(window, minimiser), f"id {kind}, mark long, start int, n int, minimiser long, positions long"
     )
     times = runs.groupBy("minimiser").agg(F.sum("positions").alias("times")).where("times > 1")
+    # Written, so that the join is between two plain tables: Spark can split a minimiser with very many runs there.
+    times = staged(times, "minimisers")
     wanted = (
         runs.join(times, "minimiser")
         .groupBy("id", "mark")

@@ -215,13 +215,17 @@ def near_duplicate_groups(
         return F.xxhash64("tree", F.substring("label", 1, 4 * n))
 
     labels = labels.select("c1", "c2", "at.id", "at.mark", "tree", "label", prefix(least).alias("region"))
-    shared = labels.groupBy("region").agg(F.count("*").alias("n")).where("n > 1")
-    open_ = staged(labels.join(shared, "region"), "regions")
+
+    def shared(rows: DataFrame) -> DataFrame:
+        # Written, so that joins are between two plain tables: Spark can split a crowded region there.
+        return staged(rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+
+    open_ = staged(labels.join(shared(labels), "region"), "regions")
     done = []
     for n in range(least + 1, depth + 1):
         done.append(open_.where(F.col("n") <= region))
         open_ = open_.where(F.col("n") > region).drop("n").withColumn("region", prefix(n))
-        open_ = open_.join(open_.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), "region")
+        open_ = open_.join(shared(open_), "region")
     members = open_
     for part in done:
         members = members.unionByName(part)

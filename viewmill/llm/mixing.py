@@ -10,7 +10,7 @@ from viewmill.llm.common import join_documents, staged, with_key
 
 WEIGHTS, SHARE, MOST_EPOCHS = (3, 1, 2), 1.5, 2
 #: Documents that one sorted run of keys has on average.
-RUN_ROWS = 5000
+RUN_ROWS = 1000
 
 
 def quality_weight(text: Column) -> Column:
@@ -88,8 +88,9 @@ def mix_sources(
     )
     sizes = stats.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = staged(source_targets(sizes, weights, share, most_epochs), "targets")
-    runs = max(64, stats.count() // RUN_ROWS)
-    run = F.least(F.floor((1 - F.exp(-F.col("key"))) * runs), F.lit(runs - 1))
+    runs = max(256, stats.count() // RUN_ROWS)
+    # Most documents weigh about 4, which this turns into even runs; others only make them less even.
+    run = F.least(F.floor((1 - F.exp(-4 * F.col("key"))) * runs), F.lit(runs - 1))
     stats = stats.withColumn("run", run)
     sums = stats.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
     sums = sums.withColumn(

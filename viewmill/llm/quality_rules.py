@@ -17,7 +17,7 @@ STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_wor
 WINDOW = 5
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
-#: Labelled rows that a list is learned from: those with the smallest hashes of their ids, so many at most.
+#: Labelled rows that a list is learned from, at most: those whose hashed ids are below the share that this is of all.
 SAMPLE_ROWS = 20_000
 
 
@@ -194,8 +194,8 @@ def learn_rules(
 def fit_rules(statistics: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, **options) -> list[Rule]:
     """Rules for ``quality = 0`` from ``statistics`` joined with ``labels`` (doc_id, quality).
 
-    At most ``sample_rows`` labelled rows that pass the base rules are used: those with the smallest hashes of their
-    ids. Rows without a label,
+    At most ``sample_rows`` labelled rows that pass the base rules are used: such rows are counted, and each is
+    taken by a hash of its id at the rate that gives so many; a few beyond it are left out. Rows without a label,
     null labels and labels without a row are left out; without both kinds of label there are no rules.
     """
     marked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -203,7 +203,9 @@ def fit_rules(statistics: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     joined = statistics.where(~base_failed()).join(marked, F.col("id") == F.col("doc_id")).select(
         F.xxhash64("id").alias("order"), "quality", *[feature(f).alias(f) for f in FEATURES]
     )
-    sample = joined.orderBy("order", *FEATURES).limit(sample_rows).collect()
+    rate = min(1.0, sample_rows / max(joined.count(), 1))
+    chance = F.pmod("order", F.lit(1 << 30)) / float(1 << 30)
+    sample = sorted(joined.where(chance < rate).collect())[:sample_rows]
     rows = np.array([[r[f] for f in FEATURES] for r in sample]).reshape(len(sample), len(FEATURES))
     bad = np.array([r["quality"] == 0 for r in sample], dtype=bool)
     return learn_rules(rows, bad, list(FEATURES), **options) if bad.any() and not bad.all() else []

@@ -7,7 +7,7 @@ from viewmill.functions.device import BROWSER_RULES, OS_RULES, Rules
 from viewmill.functions.network import IPV4
 from viewmill.functions.text import URL_AUTHORITY
 from viewmill.operators.enrich import SOCIAL_KEYWORDS
-from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS
+from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS, TABLES
 from viewmill.sources.testdata import INTERNAL_KEYWORDS, REFERRERS, RESOLUTIONS, USER_AGENTS
 
 
@@ -79,7 +79,7 @@ STEPS: dict[str, str] = {
             {_in_turn('event_id', REFERRERS)} AS referrer_url,
             CASE WHEN event_type = 'view' THEN 'view_product_detail' ELSE event_type END AS collection,
             json_extract_string(props, '$.k') AS product_id
-        FROM events LEFT JOIN pages ON page_id = event_id % 50""",
+        FROM events LEFT JOIN pages ON page_id = event_id % (SELECT greatest(count(*), 1) FROM pages)""",
     "ip_ranges": """
         SELECT (2560 + n_nationkey) * 65536::BIGINT AS ip_from,
             (2560 + n_nationkey) * 65536::BIGINT + 65535 AS ip_to,
@@ -260,4 +260,27 @@ _BODIES: dict[str, str] = {
     "stream_replay": _STAR_ROWS,
 }
 
+
+def _constraints() -> str:
+    """One SELECT per constraint, over the facts and the early dimensions."""
+    sources = {name: f"{name}_early" for name in DIMENSIONS} | {FACT.name: "fact"}
+    parts = []
+    for name, source in sources.items():
+        table = TABLES[name]
+        columns = FACT_KEYS if name == FACT.name else table.columns
+        rules = [(f"{c} is null", f"{c} IS NULL") for c in table.required if c in columns]
+        rules += [(f"{c} exceeds {n}", f"length({c}) > {n}") for c, n in table.max_length.items() if c in columns]
+        if name != FACT.name:
+            rules_of_fact = f"{table.key[0]} IS NOT NULL AND {table.key[0]} NOT IN (SELECT {table.key[0]} FROM {source})"
+            parts.append((FACT.name, f"{table.key[0]} points to nothing", f"FROM fact WHERE {rules_of_fact}"))
+        parts += [(name, rule, f"FROM {source} WHERE {test}") for rule, test in rules]
+        key = ", ".join(table.key)
+        parts.append((name, "key is not unique", f"FROM (SELECT {key} FROM {source} GROUP BY {key} HAVING count(*) > 1)"))
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{r}' AS rule, count(*) AS violations {rest}" for t, r, rest in parts
+    )
+
+
+_BODIES["star_constraints"] = _constraints()
+
 ORACLE_SQL: dict[str, str] = {name: _with_steps(_BODIES[name]) for name in QUERIES}

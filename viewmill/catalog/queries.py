@@ -15,6 +15,7 @@ from viewmill.operators.geo import geo_lookup
 from viewmill.operators.merge import add_column_if_missing, first_per_key, insert_if_absent, upsert
 from viewmill.operators.quality import duplicate_keys, freshness, orphans, overlong_values, split_valid
 from viewmill.operators.ranking import rank_in_group, top_n_per_group
+from viewmill.plans.checks import check_tables
 from viewmill.plans.marts import (
     product_counts,
     run_sql,
@@ -23,7 +24,7 @@ from viewmill.plans.marts import (
     views_by_country,
 )
 from viewmill.plans.star import dimension, fact_views, load_star
-from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS, VIEW_REQUIRED
+from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS, VIEW_REQUIRED
 from viewmill.session import scratch_dir
 from viewmill.sources import events as ev
 from viewmill.sources import testdata as td
@@ -334,6 +335,13 @@ def fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orphans(_fact(store), dimension(early, "dim_time"), "sk_time").select("view_id", "sk_time")
 
 
+def star_constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All constraints of the facts and of dimensions that stopped at the early load."""
+    early, _ = _two_loads(_enriched(spark, sf_dir))
+    dims = {name: dimension(early, name) for name in DIMENSIONS}
+    return check_tables({**dims, FACT.name: _fact(stored_star(spark, sf_dir)).select(*FACT_KEYS)})
+
+
 def overlong(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = td.table(spark, sf_dir, "documents")
     return overlong_values(documents, ["doc_id"], {"text": 1000, "source": 5})
@@ -384,11 +392,12 @@ def stream_star_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch, the same batch delivered again, then all of it once more through a stream."""
+    """A batch, a part of it and all of it delivered again, then everything once more through a stream."""
     store = StarStore(spark, scratch_dir(spark, "replayed")).init()
     views, ranges = _views(spark, sf_dir), td.ip_ranges(spark, sf_dir)
-    for _ in range(2):
-        load_star(store, views, "replayed", ranges, td.INTERNAL_KEYWORDS)
+    shortened = views.filter(F.col("local_time") < FIRST_LOAD_UNTIL)
+    for delivered in (views, shortened, views):
+        load_star(store, delivered, "replayed", ranges, td.INTERNAL_KEYWORDS)
     _stream_into(store, spark, sf_dir)
     return _star_rows(store)
 
@@ -425,6 +434,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": duplicate_lines,
     "rejected_views": rejected_views,
     "fk_orphans": fk_orphans,
+    "star_constraints": star_constraints,
     "overlong_values": overlong,
     "freshness": fresh_events,
     "sk_date_for": sk_date_of_day,

@@ -34,9 +34,6 @@ REFERRERS = (
 )
 RESOLUTIONS = ("1920x1080", "375x812", "1366x768")
 
-# Every event shows one of the first pages.
-SHOWN_PAGES = 50
-
 EVENT_COLUMNS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -63,11 +60,12 @@ def _in_turn(number, choices):
 
 
 def raw_views_of(events: DataFrame, pages: DataFrame) -> DataFrame:
-    """All ``events`` in the shape of the web event schema."""
+    """All ``events`` in the shape of the web event schema; they show all pages in turn."""
     event, user = F.col("event_id"), F.col("user_id")
-    # One row per page shown: a bound that does not depend on the size of ``pages``.
-    shown = F.broadcast(pages.filter(F.col("page_id") < SHOWN_PAGES).select("page_id", "url"))
-    return events.join(shown, event % SHOWN_PAGES == F.col("page_id"), "left").select(
+    shown = pages.select("page_id", "url")
+    # Without pages there is nothing to divide by, and no event shows one.
+    turn = event % F.lit(max(pages.count(), 1))
+    return events.join(shown, turn == F.col("page_id"), "left").select(
         event.cast("string").alias("id"),
         F.concat_ws(
             ".",

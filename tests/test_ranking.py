@@ -24,9 +24,29 @@ def plain(counts):
     return counts.withColumn("rank", F.row_number().over(order))
 
 
-@pytest.mark.parametrize("prefix", [1, 3])
-def test_rank_equals_row_number(counts, prefix):
-    assert rows(rank_in_group(counts, "day", "n", "item", prefix)) == rows(plain(counts))
+def test_rank_equals_row_number(counts):
+    assert rows(rank_in_group(counts, "day", "n", "item")) == rows(plain(counts))
+
+
+def test_rank_keeps_null_groups_and_counts(spark):
+    df = spark.createDataFrame(
+        [(None, "a", 2), (None, "b", 3), (1, "c", None), (1, None, None), (1, "d", 1)], "day int, item string, n long"
+    )
+    assert rows(rank_in_group(df, "day", "n", "item")) == rows(plain(df))
+
+
+def test_rank_spreads_equal_counts(spark):
+    """A long tail of items with one count and one prefix is numbered by several tasks."""
+    df = spark.range(50_000).select(
+        F.lit(1).alias("day"), F.format_string("SKU-%06d", "id").alias("item"), F.lit(1).cast("long").alias("n")
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ranked = rank_in_group(df.repartition(4), "day", "n", "item")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(ranked.inputFiles()) > 1
+    assert ranked.where(F.col("rank") != F.substring("item", 5, 6).cast("int") + 1).isEmpty()
 
 
 def test_top_n(counts):

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from viewmill.session import scratch_dir
+
 
 def top_n_per_group(df: DataFrame, group: str, count: str, item: str, n: int) -> DataFrame:
     """The ``n`` rows of each ``group`` with the highest ``count``, ties by ``item``, with ``rank``.
@@ -17,26 +19,27 @@ def top_n_per_group(df: DataFrame, group: str, count: str, item: str, n: int) ->
     return df.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def rank_in_group(df: DataFrame, group: str, count: str, item: str, prefix_length: int = 3) -> DataFrame:
-    """Row number of every row in its ``group`` by ``count`` descending, then string ``item``.
+def rank_in_group(df: DataFrame, group: str, count: str, item: str) -> DataFrame:
+    """Row number of every row in its ``group`` by ``count`` descending, then ``item``; NULLs as in ``row_number``.
 
-    One window per group would sort a whole group in one task. Here a row's number is the size of all
-    better (count, item prefix) classes plus its number inside its own class: the sorts run per class,
-    and only class sizes are accumulated per group. Prefixes keep the byte order of items, so the
-    result equals the plain row number.
+    One window per group would sort a whole group in one task. Here rows are dealt out by ranges of (group, count,
+    item) and written with the number of their range, so that a task that is repeated finds the same ranges. A row's
+    number is its place within its range plus the rows of its group in earlier ranges, of which there is one count each.
     """
-    classed = df.withColumn("_prefix", F.coalesce(F.substring(item, 1, prefix_length), F.lit("")))
-    cls = [group, count, "_prefix"]
-    better = W.partitionBy(group).orderBy(F.desc(count), F.asc("_prefix")).rowsBetween(W.unboundedPreceding, -1)
+    order = [F.asc(group), F.desc(count), F.asc(item)]
+    path = scratch_dir(df.sparkSession, "ranked")
+    ranged = df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = df.sparkSession.read.schema(ranged.schema).parquet(path)
+    earlier = W.partitionBy(group).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        classed.groupBy(*cls)
+        ranged.groupBy(group, "_range")
         .agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_offset", F.coalesce(F.sum("_size").over(better), F.lit(0)))
-        .drop("_size")
+        .select(F.col(group).alias("_group"), F.col("_range").alias("_of"), F.sum("_size").over(earlier).alias("_offset"))
     )
-    inside = F.row_number().over(W.partitionBy(*cls).orderBy(item))
+    inside = F.row_number().over(W.partitionBy(group, "_range").orderBy(*order[1:]))
     return (
-        classed.withColumn("_inside", inside)
-        .join(offsets, cls)
-        .select(*df.columns, (F.col("_offset") + F.col("_inside")).cast("int").alias("rank"))
+        ranged.withColumn("_inside", inside)
+        .join(offsets, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+        .select(*df.columns, (F.coalesce("_offset", F.lit(0)) + F.col("_inside")).cast("int").alias("rank"))
     )

@@ -39,8 +39,14 @@ def build_session(app: str = "viewmill", master: str | None = None, **extra: str
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """A fresh folder under ``spark.checkpoint.dir``.
+
+    Where that is unset, a session with local threads gets a temporary folder; any other is refused, since its
+    executors would write where nobody else can read.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"run-{name}-")

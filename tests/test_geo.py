@@ -95,6 +95,23 @@ def test_equals_plain_between(spark, seed, how):
     assert found == rows(plain.select("n", F.coalesce("country_code", F.lit("UNKNOWN"))))
 
 
+@pytest.mark.parametrize("how", [{"broadcast": True}, {"broadcast": False, "rows_per_split": 50}])
+def test_narrowest_of_nested_ranges(spark, how):
+    rng = random.Random(5)
+    listed = [(0, 2**24, "ALL", "n", "r", "c")]
+    for i in range(150):
+        low = rng.randrange(2**16)
+        listed.append((low, low + rng.choice([0, 3, 40, 5000, 9000]), f"C{i}", "n", "r", "c"))
+    points = [rng.randrange(2**16 + 9000) for _ in range(600)]
+    want = []
+    for n, p in enumerate(points):
+        best = min((h - lo, lo, c) for lo, h, c, *_ in listed if lo <= p <= h)
+        want.append((n, best[2]))
+    text = [".".join(str(p >> s & 255) for s in (24, 16, 8, 0)) for p in points]
+    probe = spark.createDataFrame(list(enumerate(text)), "n int, ip string")
+    assert rows(geo_lookup(probe, ranges(spark, *listed), **how), "n", "country_code") == sorted(want, key=repr)
+
+
 def test_hot_block_is_split(spark):
     """Every row equal in all columns: they still go to several tasks."""
     same = spark.range(1000).select(F.lit("10.0.0.1").alias("ip"))

@@ -123,8 +123,12 @@ def test_invalid_views_do_not_stop_the_stream(spark, store, tmp_path):
         run(spark, store, tmp_path / "in", tmp_path / "strict", options=LoadOptions(strict=True))
 
 
-def test_overlapping_ranges_are_refused(spark, store, tmp_path):
-    write(tmp_path / "in", "1.json", [DEFAULT_EVENT])
-    twice = ranges(spark, ("10.0.0.0", "10.0.0.9", "A"), ("10.0.0.5", "10.0.0.9", "B"))
-    with pytest.raises(ValueError, match="overlapping"):
-        start_star_stream(store, file_events(spark, str(tmp_path / "in")), str(tmp_path / "o"), twice, INTERNAL)
+def test_narrowest_of_overlapping_ranges_counts(spark, store, tmp_path):
+    write(tmp_path / "in", "1.json", [DEFAULT_EVENT, {**DEFAULT_EVENT, "id": "v2", "ip": "10.0.0.7"}])
+    nested = ranges(spark, ("10.0.0.0", "10.0.0.9", "A"), ("10.0.0.5", "10.0.0.8", "B"))
+    query = start_star_stream(
+        store, file_events(spark, str(tmp_path / "in")), str(tmp_path / "o"), nested, INTERNAL, trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    assert store.table(FACT).count() == 2
+    assert sorted(c for (c,) in rows(store.table("dim_location"), "country_code")) == ["A", "B"]

@@ -2,7 +2,7 @@
 
 ``view.ip BETWEEN range.ip_from AND range.ip_to`` alone can only run as a nested loop. Cutting the
 address space into /20 blocks adds an equality: a range is listed once per block it touches, an
-address lies in one block. Ranges do not overlap, so
+address lies in one block. Ranges that overlap are cut into disjoint pieces there, so
 
 * the listing is at most one row per block (2**20) longer than the range table, however wide ranges are;
 * an address is compared with the ranges of its block only, 4,096 at the very most and a handful in a
@@ -39,8 +39,38 @@ def range_blocks(ranges: DataFrame) -> DataFrame:
     )
 
 
+def narrowest_blocks(ranges: DataFrame) -> DataFrame:
+    """:func:`range_blocks` cut into disjoint pieces, each with the narrowest range that holds it.
+
+    In every block the pieces start where a range starts or after one ends. They are joined with the ranges of their
+    block, on the range table alone; views are never multiplied. Of equally narrow ranges the first by bounds, then by
+    location, wins. A table without overlaps keeps its rows, cut at the borders of blocks.
+    """
+    blocks = range_blocks(ranges)
+    first = F.shiftleft(F.col("_block").cast("bigint"), BLOCK_BITS)
+    blocks = blocks.select(
+        "_block",
+        F.greatest("ip_from", first).alias("_low"),
+        F.least("ip_to", first + (2**BLOCK_BITS - 1)).alias("_high"),
+        F.struct((F.col("ip_to") - F.col("ip_from")).alias("width"), "ip_from", F.struct(*LOCATION_FIELDS).alias("range")).alias(
+            "_held"
+        ),
+    )
+    border = F.explode(F.array(F.col("_low"), F.col("_high") + 1)).alias("ip_from")
+    borders = blocks.select(F.col("_block").alias("_of"), border).distinct()
+    until = F.lead("ip_from").over(W.partitionBy("_of").orderBy("ip_from")) - 1
+    pieces = borders.withColumn("ip_to", until).filter(F.col("ip_to").isNotNull())
+    held = (F.col("_block") == F.col("_of")) & F.col("ip_from").between(F.col("_low"), F.col("_high"))
+    return (
+        pieces.join(blocks, held)
+        .groupBy("_block", "ip_from", "ip_to")
+        .agg(F.min("_held").alias("_held"))
+        .select("_block", "ip_from", "ip_to", F.col("_held.range").alias("_range"))
+    )
+
+
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Ranges that start inside an earlier one; a usable table has none.
+    """Ranges that start inside an earlier one.
 
     Checked per block, so that the sort is spread over the cluster.
     """
@@ -54,6 +84,11 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     )
 
 
+def overlaps(ranges: DataFrame) -> bool:
+    """Whether any address lies in two ranges; only then they are cut."""
+    return not overlapping_ranges(ranges).isEmpty()
+
+
 def ranges_fit_broadcast(ranges: DataFrame) -> bool:
     """Whether the listing of ``ranges`` per block is small enough for every executor to hold."""
     return fits_broadcast(range_blocks(ranges))
@@ -84,14 +119,14 @@ def geo_lookup(
     broadcast: bool | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
 ) -> DataFrame:
-    """Add country, region and city of ``views.ip``; every view is kept and, as ranges are disjoint
-    (see ``assert_disjoint``), none is repeated.
+    """Add country, region and city of ``views.ip``; every view is kept and none is repeated. Where ranges overlap
+    the narrowest counts (see ``narrowest_blocks``).
 
     Unless ``broadcast`` says so already, the range table is measured. If it is small it is broadcast
     and the views are never shuffled. If not, both sides are shuffled by block, and the blocks are split by their exact
     view counts, so that a block holding a third of all views is joined by many tasks.
     """
-    blocks = range_blocks(ranges).select(
+    blocks = narrowest_blocks(ranges) if overlaps(ranges) else range_blocks(ranges).select(
         "_block", "ip_from", "ip_to", F.struct(*LOCATION_FIELDS).alias("_range")
     )
     probe = views.withColumn("_number", ipv4_number(F.col("ip")))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from viewmill.operators.enrich import enrich
-from viewmill.operators.geo import assert_disjoint, ranges_fit_broadcast
+from viewmill.operators.geo import ranges_fit_broadcast
 from viewmill.plans.star import LoadOptions, load_enriched
 from viewmill.schemas import PRODUCT_VIEW
 from viewmill.sources.events import views_from_records
@@ -42,13 +42,12 @@ def start_star_stream(
     While the range table can be broadcast, enrichment is part of the streaming plan, which is built
     once. A bigger table is joined within each micro-batch, since that join counts the views first.
     Offsets are kept under ``checkpoint``. After a crash the last batch is
-    delivered again with the same id and replaces its own rows, so every view is stored once.
+    delivered again with the same id; what it has stored stays, what is missing is added.
 
     Loads are named after the query id, which Spark keeps in the checkpoint: with a new checkpoint
     batch ids restart, but never under the name of an older load. End a job with
     ``query.awaitTermination()``.
     """
-    assert_disjoint(ranges)
     keywords = tuple(internal_keywords)
     broadcast = options.broadcast_ranges
     if broadcast is None:
@@ -62,6 +61,8 @@ def start_star_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if not query_id:
+            raise RuntimeError("a micro-batch without a query id: its load would have the name of another stream's")
         target = StarStore(batch.sparkSession, store.root)
         enriched = batch if broadcast else enrich(batch, lookup, keywords, broadcast)
         load_enriched(target, enriched, load_id_of(query_id, batch_id), options)

@@ -18,7 +18,7 @@ from viewmill.sources.events import (
     views_from_records,
 )
 from viewmill.sources.jdbc import jdbc_options
-from viewmill.sources.store import StarStore, days_between
+from viewmill.sources.store import StarStore
 
 
 def records(spark, *payloads):
@@ -102,10 +102,6 @@ def test_jdbc_options():
     assert jdbc_options("jdbc:x", "t", {"user": "u"}) == {"url": "jdbc:x", "dbtable": "t", "user": "u"}
 
 
-def test_days_between():
-    assert days_between(20240228, 20240301) == [20240228, 20240229, 20240301]
-    assert days_between(20240101, 20240101, 1) == [20231231, 20240101, 20240102]
-
 
 def test_init_creates_all_tables_once(spark, store):
     for name, table in TABLES.items():
@@ -114,7 +110,7 @@ def test_init_creates_all_tables_once(spark, store):
         )
         assert store.read(name).count() == 0
     time = spark.createDataFrame([(5, 0, 5)], "sk_time int, hour int, minute int")
-    store.write_load("dim_time", time, "one")
+    store.add_rows("dim_time", time, "one")
     StarStore(spark, store.root).init()
     assert rows(store.table("dim_time")) == [(5, 0, 5)]
     assert store.read_days("fact_product_views", [20240101]).count() == 0

@@ -10,6 +10,7 @@ from viewmill.operators.enrich import enrich
 from viewmill.operators.quality import orphans
 from viewmill.plans import star
 from viewmill.plans.star import LoadOptions, compact_into, dimension, fact_views, load_star
+from viewmill.plans.checks import check_star
 from viewmill.schemas import DIMENSIONS, FACT_KEYS
 from viewmill.sources.store import StarStore
 
@@ -75,20 +76,38 @@ def test_both_ways_to_find_stored_ids(store, monkeypatch, most):
     assert rows(store.table(FACT), "view_id") == [("v1",), ("v2",), ("v3",)]
 
 
-def test_horizon(store, spark, tmp_path):
-    """With a horizon a repeated event is still found; an id that returns on another day is settled
-    by the compaction, and without a horizon at once."""
+def test_compaction(store, spark, tmp_path):
     load(store, "a", {})
-    assert load(store, "b", {}, horizon_days=0)[FACT] == 0
-    moved = {"local_time": "2024-01-06 10:00:00"}
-    assert load(store, "c", moved, horizon_days=1)[FACT] == 0
-    assert load(store, "d", moved)[FACT] == 0
-    assert load(store, "e", moved, horizon_days=0)[FACT] == 1
+    assert load(store, "b", {}, {"id": "v2", "local_time": "2024-01-06 10:00:00"})[FACT] == 1
+    assert load(store, "c", {"local_time": "2024-01-07 10:00:00"})[FACT] == 0
     target = StarStore(spark, str(tmp_path / "compact"))
     done = compact_into(store, target)
-    assert (done[FACT], done["dim_date"]) == (1, 2)
-    assert rows(target.table(FACT), "view_id", "sk_date") == [("v1", 20240105)]
-    assert rows(target.read(FACT), "load_id") == [("compacted",)]
+    assert (done[FACT], done["dim_date"]) == (2, 3)
+    assert rows(target.table(FACT), "view_id", "sk_date") == [("v1", 20240105), ("v2", 20240106)]
+    assert rows(target.read(FACT).select("load_id").distinct()) == [("compacted",)]
+
+
+@pytest.mark.parametrize(
+    "again",
+    [
+        [{}],
+        [{}, {"id": "v2", "local_time": "2024-01-06 00:00:00", "product_id": "p2"}, {"id": "v3", "product_id": "p3"}],
+        [{"id": "v4", "product_id": "p4", "ip": "9.9.9.9"}],
+        [],
+    ],
+)
+def test_repeated_load_only_adds(store, spark, again):
+    """Delivered again with fewer, more, other or no views: nothing stored goes, and no fact points to nothing."""
+    load(store, "a", {}, {"id": "v2", "local_time": "2024-01-06 00:00:00", "product_id": "p2"}, {"id": None})
+    before = content(store)
+    if again:
+        load(store, "a", *again)
+    else:
+        load_star(store, views(spark, {}).filter("false"), "a", home(spark), INTERNAL)
+    after = content(store)
+    assert all(set(before[name]) <= set(after[name]) for name in before)
+    assert store.table("rejected_views").count() == 0
+    assert not any(r["violations"] for r in check_star(store).collect())
 
 
 INVALID = [

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from datetime import datetime, timedelta
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -13,19 +12,11 @@ from pyspark.sql import functions as F
 from viewmill.schemas import TABLES, Table
 
 
-def days_between(first: int, last: int, margin: int = 0) -> list[int]:
-    """All ``yyyyMMdd`` keys from ``margin`` days before ``first`` to ``margin`` days after ``last``."""
-    start = datetime.strptime(f"{first:08d}", "%Y%m%d") - timedelta(days=margin)
-    end = datetime.strptime(f"{last:08d}", "%Y%m%d") + timedelta(days=margin)
-    days = ((start + timedelta(days=n)) for n in range((end - start).days + 1))
-    return [d.year * 10000 + d.month * 100 + d.day for d in days]
-
-
 class StarStore:
     """Reads and writes the tables of :data:`viewmill.schemas.TABLES` below ``root``.
 
-    Dimensions, facts and rejected views carry a ``load_id`` partition: a load that is repeated
-    rewrites its own files and nobody else's. Facts and marts are also partitioned by ``sk_date``.
+    Dimensions, facts and rejected views carry a ``load_id`` partition. Loads only ever add dimension rows and facts;
+    the rejected views of a load are replaced when it is repeated. Facts and marts are also partitioned by ``sk_date``.
     One writer at a time per table is assumed.
     """
 
@@ -81,10 +72,18 @@ class StarStore:
         name = "fact_product_views"
         return self.read_days(name, [sk_date]).select(*TABLES[name].columns)
 
-    def write_load(self, name: str, rows: DataFrame, load_id: str) -> None:
-        """Make ``rows`` the content of load ``load_id`` in table ``name``.
+    def add_rows(self, name: str, rows: DataFrame, load_id: str) -> None:
+        """Add ``rows`` to table ``name`` under ``load_id``; nothing that is stored goes."""
+        self._write(name, rows, load_id, "append")
+
+    def replace_load(self, name: str, rows: DataFrame, load_id: str) -> None:
+        """Make ``rows``, which may be none, the content of load ``load_id`` in a table without days."""
+        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(load_id)
+        self.drop_folder(f"{self.path(name)}/load_id={escaped}")
+        self._write(name, rows, load_id, "append")
 
-        Files are laid out by a rebalance: partitions are merged or split to the advisory size, and a
+    def _write(self, name: str, rows: DataFrame, load_id: str, mode: str) -> None:
+        """Files are laid out by a rebalance: partitions are merged or split to the advisory size, and a
         day with most of the rows is written by several tasks.
         """
         table: Table = TABLES[name]
@@ -93,8 +92,7 @@ class StarStore:
             rows.select(*table.columns)
             .hint("rebalance", *by)
             .withColumn("load_id", F.lit(load_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode(mode)
             .partitionBy(*table.partitions)
             .parquet(self.path(name))
         )

@@ -26,6 +26,7 @@ BLOCKS = frozenset(
     "aside header footer form fieldset legend blockquote pre figure figcaption address hr details summary menu dialog "
     "button label center".split()
 )
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption td th tr tbody".split())
 CLOSES_PARAGRAPH = BLOCKS - {"html", "body", "button", "label", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SAME_LEVEL = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 BOILERPLATE_TAGS = frozenset("nav footer aside form fieldset menu dialog button".split())
@@ -109,8 +110,8 @@ def page_blocks(page: str) -> list[Block]:
             if not part.strip():
                 return
             holder = next((e for e in reversed(stack) if e.tag in BLOCKS), stack[0])
-            # A paragraph is told apart by its parent, so that all of a parent's paragraphs are neighbours.
-            place = next((e for e in reversed(stack) if e.tag in BLOCKS and e.tag not in ("p", "b")), stack[0])
+            # Headings, paragraphs and list items belong to what holds them, so that they are neighbours there.
+            place = next((e for e in reversed(stack) if e.tag in BLOCKS - TEXT_BLOCKS), stack[0])
             top = stack[-1]
             block = Block(place.number, tuple(e.number for e in stack), top.bad, top.good, holder.tag)
             blocks.append(block)
@@ -138,8 +139,8 @@ def page_blocks(page: str) -> list[Block]:
                 del stack[depth:]
             continue
         if tag in VOID:
-            if tag == "br":
-                text(" ") if block else None
+            if tag == "br" and block:
+                text(" ")
             continue
         closes = SAME_LEVEL.get(tag, ()) or (("p",) if tag in CLOSES_PARAGRAPH else ())
         if tag in ("li", "dt", "dd"):

@@ -27,6 +27,7 @@ BLOCKS = frozenset(
     "button label center".split()
 )
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre figcaption caption td th tr tbody".split())
+HOLDERS = BLOCKS - TEXT_BLOCKS
 CLOSES_PARAGRAPH = BLOCKS - {"html", "body", "button", "label", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SAME_LEVEL = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 BOILERPLATE_TAGS = frozenset("nav footer aside form fieldset menu dialog button".split())
@@ -111,7 +112,7 @@ def page_blocks(page: str) -> list[Block]:
                 return
             holder = next((e for e in reversed(stack) if e.tag in BLOCKS), stack[0])
             # Headings, paragraphs and list items belong to what holds them, so that they are neighbours there.
-            place = next((e for e in reversed(stack) if e.tag in BLOCKS - TEXT_BLOCKS), stack[0])
+            place = next((e for e in reversed(stack) if e.tag in HOLDERS), stack[0])
             top = stack[-1]
             block = Block(place.number, tuple(e.number for e in stack), top.bad, top.good, holder.tag)
             blocks.append(block)

@@ -1 +1,8 @@
 """Operators for preparing training text; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to executors whole, not as names: executors need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from viewmill.llm.common import join_documents, staged, unpacked, with_key
 from viewmill.llm.components import connected_components
-from viewmill.llm.words import mix, word_groups
+from viewmill.llm.crowded import completed_components
+from viewmill.llm.words import mix, shingle_sets
 
 SHINGLE, PERCENT = 5, 85
 #: Orders of the forest; values of a label; values that neighbours share at least. A pair with similarity 0.85
@@ -21,26 +23,8 @@ TREES, DEPTH, LEAST = 16, 8, 4
 REGION = 128
 #: A region of full depth with more rows than this is dealt to several tasks, each with its first row.
 SPLIT = 4096
-#: Bytes of text compared at a time, if the region has more than two rows.
-REGION_BYTES = 16 << 20
-
-
-def _shingles(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    for group in word_groups(texts, lower=True):
-        values, among = group.windows(size)
-        for i in range(len(group.bounds) - 1):
-            found = values[among[i] : among[i + 1]]
-            if len(found) == 0 and group.bounds[i + 1] > group.bounds[i]:
-                # Fewer words than a shingle has: the whole sequence is one, kept apart by its length.
-                n = group.bounds[i + 1] - group.bounds[i]
-                words = group.hashes[group.bounds[i] : group.bounds[i + 1]]
-                with np.errstate(over="ignore"):
-                    value = np.uint64(n)
-                    for w in words:
-                        value = mix(np.array([value * np.uint64(31) + w], dtype=np.uint64), int(n))[0]
-                found = np.array([value], dtype=np.uint64)
-            yield np.unique(found)
+#: Characters of text compared at a time, if the region has more than two rows.
+REGION_CHARS = 16 << 20
 
 
 def _signatures(size: int, values: int):
@@ -59,15 +43,16 @@ def _signatures(size: int, values: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, a, b, signs = [], [], [], []
-            for found in _shingles(batch["text"], size):
+            chars = pc.utf8_length(batch["text"]).cast(pa.int64())
+            for found in shingle_sets(batch["text"], size):
                 n.append(len(found))
                 a.append(int(mix(found, 1).sum(dtype=np.uint64)))
                 b.append(int(mix(found, 2).sum(dtype=np.uint64)))
                 signs.append(signature(found))
             numbers = [pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (a, b)]
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], batch["mark"], pa.array(n, pa.int64()), *numbers, pa.array(signs, pa.binary())],
-                ["id", "mark", "n_shingles", "c1", "c2", "signature"],
+                [batch["id"], batch["mark"], chars, pa.array(n, pa.int64()), *numbers, pa.array(signs, pa.binary())],
+                ["id", "mark", "chars", "n_shingles", "c1", "c2", "signature"],
             )
 
     return run
@@ -115,7 +100,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 def _links(rows: list[tuple], size: int, percent: int) -> list[tuple[int, int, int, int]]:
     """Links that connect what is connected among rows of (c1, c2, text)."""
-    sets = list(_shingles(pa.array([r[2] for r in rows], pa.string()), size))
+    sets = list(shingle_sets(pa.array([r[2] for r in rows], pa.string()), size))
     both = _intersections(sets)
     n = np.array([len(s) for s in sets], dtype=np.float64)
     near = 100 * both >= percent * (n[:, None] + n[None, :] - both)
@@ -126,7 +111,7 @@ def _links(rows: list[tuple], size: int, percent: int) -> list[tuple[int, int, i
     return out
 
 
-def _compare(size: int, percent: int, most: int, most_bytes: int):
+def _compare(size: int, percent: int, most: int, most_chars: int):
     """Compares the rows of each region, which come together and in the order of their labels."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,7 +126,7 @@ def _compare(size: int, percent: int, most: int, most_bytes: int):
                     region, rows, weight = (key, part), [], 0
                 rows.append((c1, c2, text))
                 weight += len(text)
-                if len(rows) > most or (weight > most_bytes and len(rows) > 2):
+                if len(rows) > most or (weight > most_chars and len(rows) > 2):
                     found += _links(rows, size, percent)
                     # The first row of the region meets all others; neighbours in the order meet each other.
                     rows = [rows[0], rows[-1]]
@@ -183,10 +168,11 @@ def near_duplicate_groups(
     label: depth adapts to each region. A region's rows lie together in label order; so many at a time are compared on
     their full shingle sets, neighbours staying together and the region's first row meeting all. Comparing gives
     only the links that connect, never all pairs. A region of whole labels with more than ``split`` rows is dealt
-    to several tasks, its first class to all of them.
+    to several tasks, its first class to all of them. What that leaves in different components of one region is
+    then compared too (see :mod:`viewmill.llm.crowded`), so a region's size costs no link.
 
-    What two documents share in no order is not found: 0.000007 of pairs at the threshold; in crowded regions a
-    pair may be apart in an order, and meets in others or through common neighbours.
+    What two documents share in no order is not found: 0.000007 of pairs at the threshold, where all regions stay at
+    ``least`` values; more where they are deeper.
 
     Null and empty texts have no shingles and are linked with nothing, equal ones neither: each is its own component.
     Null ids come last: a component of null ids only has a null id, and its documents are all kept. Repeated rows
@@ -197,41 +183,44 @@ def near_duplicate_groups(
     signed = staged(
         keyed.select("id", "mark", "text").mapInArrow(
             _signatures(size, trees * depth),
-            f"id {kind}, mark long, n_shingles long, c1 long, c2 long, signature binary",
+            f"id {kind}, mark long, chars long, n_shingles long, c1 long, c2 long, signature binary",
         ),
         "signatures",
     )
     classes = (
         signed.where("n_shingles > 0")
         .groupBy("c1", "c2")
-        .agg(F.min("id").alias("least_id"), F.min(F.struct("id", "mark")).alias("at"), F.first("signature").alias("signature"))
+        .agg(F.min(F.struct("id", "mark", "chars")).alias("at"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     )
     label = F.substring(F.col("signature"), F.col("tree") * (4 * depth) + 1, F.lit(4 * depth))
     labels = classes.select(
-        "c1", "c2", "at", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
-    ).select("c1", "c2", "at", "tree", label.alias("label"))
+        "c1", "c2", "n_shingles", "at", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")
+    ).select("c1", "c2", "n_shingles", "at", "tree", label.alias("label"))
 
     def prefix(n: int):
         return F.xxhash64("tree", F.substring("label", 1, 4 * n))
 
-    labels = labels.select("c1", "c2", "at.id", "at.mark", "tree", "label", prefix(least).alias("region"))
+    labels = labels.select("c1", "c2", "n_shingles", "at.*", "tree", "label", prefix(least).alias("region"))
 
     def shared(rows: DataFrame) -> DataFrame:
         # Written, so that joins are between two plain tables: Spark can split a crowded region there.
-        return staged(rows.groupBy("region").agg(F.count("*").alias("n")).where("n > 1"), "shared")
+        return staged(rows.groupBy("region").agg(F.count("*").alias("n"), F.sum("chars").alias("all_chars")).where("n > 1"), "shared")
 
     open_ = staged(labels.join(shared(labels), "region"), "regions")
     done = []
     for n in range(least + 1, depth + 1):
         done.append(open_.where(F.col("n") <= region))
-        open_ = open_.where(F.col("n") > region).drop("n").withColumn("region", prefix(n))
+        open_ = open_.where(F.col("n") > region).drop("n", "all_chars").withColumn("region", prefix(n))
         open_ = open_.join(shared(open_), "region")
     members = open_
     for part in done:
         members = members.unionByName(part)
     parts = F.ceil(F.col("n") / F.lit(split))
     members = members.withColumn("part", F.pmod(F.xxhash64("c1", "c2"), parts))
-    members = staged(members.select("region", "part", "n", "label", "c1", "c2", "id", "mark"), "members")
+    members = members.withColumn("cut", (F.col("n") > region) | (F.col("all_chars") > REGION_CHARS))
+    members = staged(members.select("region", "part", "n", "cut", "label", "c1", "c2", "n_shingles", "id", "mark", "chars"), "members")
+    crowded = members.where("cut").select("region", "c1", "c2", "id", "mark", "n_shingles", "chars")
+    members = members.select("region", "part", "n", "label", "c1", "c2", "id", "mark")
     firsts = (
         members.where(F.col("n") > split)
         .groupBy("region", "n")
@@ -247,13 +236,15 @@ def near_duplicate_groups(
         .select("region", "part", "label", "c1", "c2", "text")
         .repartition("region", "part")
         .sortWithinPartitions("region", "part", "label", "c1", "c2")
-        .mapInArrow(_compare(size, percent, region, REGION_BYTES), "a1 long, a2 long, b1 long, b2 long")
+        .mapInArrow(_compare(size, percent, region, REGION_CHARS), "a1 long, a2 long, b1 long, b2 long")
     )
     edges = staged(
         found.select(F.struct(F.col("a1").alias("c1"), F.col("a2").alias("c2")).alias("a"), F.struct(F.col("b1").alias("c1"), F.col("b2").alias("c2")).alias("b")),
         "links",
     )
     groups = connected_components(edges)
+    if not crowded.isEmpty():
+        groups = completed_components(crowded, groups, texts, percent, size, region, REGION_CHARS, split)
     ids = signed.where("n_shingles > 0").groupBy("c1", "c2").agg(F.min("id").alias("least_id"))
     labelled = ids.join(groups, F.struct("c1", "c2") == F.col("node"), "left").select(
         "c1", "c2", "least_id", F.coalesce("label", F.struct("c1", "c2")).alias("label")

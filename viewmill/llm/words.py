@@ -122,3 +122,21 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, n: int) -> np.ndarray
     np.add.at(change, starts, 1)
     np.subtract.at(change, np.minimum(starts + lengths, n), 1)
     return np.cumsum(change[:-1]) > 0
+
+
+def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text."""
+    for group in word_groups(texts, lower=True):
+        values, among = group.windows(size)
+        for i in range(len(group.bounds) - 1):
+            found = values[among[i] : among[i + 1]]
+            if len(found) == 0 and group.bounds[i + 1] > group.bounds[i]:
+                # Fewer words than a shingle has: the whole sequence is one, kept apart by its length.
+                n = group.bounds[i + 1] - group.bounds[i]
+                words = group.hashes[group.bounds[i] : group.bounds[i + 1]]
+                with np.errstate(over="ignore"):
+                    value = np.uint64(n)
+                    for w in words:
+                        value = mix(np.array([value * np.uint64(31) + w], dtype=np.uint64), int(n))[0]
+                found = np.array([value], dtype=np.uint64)
+            yield np.unique(found)

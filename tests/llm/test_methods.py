@@ -127,24 +127,33 @@ def test_large_group_of_near_copies(spark):
 
 
 def test_crowded_regions_lose_no_link(spark):
-    """Groups that share most words, cut into regions of four rows: what the regions leave apart is compared in blocks."""
-    from viewmill.llm.lsh_forest import near_duplicate_groups
+    """One region without any link so far: comparing its blocks alone gives the components of all pairs."""
+    from viewmill.llm.common import with_key
+    from viewmill.llm.components import connected_components
+    from viewmill.llm.crowded import completed_components
 
     rng = random.Random(5)
-    base = [f"w{i}" for i in range(120)]
     texts = []
-    for family in range(40):
-        # Families are about 70 per cent alike; their members, one word apart, form chains and pairs.
-        own = base + [f"f{family}-{i}" for i in range(22)]
-        texts += [" ".join([*own, f"m{rng.randrange(10**6)}"]) for _ in range(rng.randint(1, 4))]
+    for family in range(25):
+        own = [f"w{i}" for i in range(rng.randint(60, 140))] + [f"f{family}-{i}" for i in range(40)]
+        texts.append(" ".join(own))
+        # A chain: each is one word from the one before, its ends may be too far apart to link.
+        for step in range(rng.randint(0, 7)):
+            own[rng.randrange(len(own))] = f"m{family}-{step}"
+            texts.append(" ".join(own))
+    rng.shuffle(texts)
     rows = list(enumerate(texts))
-    rng.shuffle(rows)
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = near_duplicate_groups(docs, region=4, split=8, depth=4)
-    got = [(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found.collect()]
     want = brute.near_duplicates(rows)
-    assert brute.ordered(got) == brute.ordered(want)
-    assert 30 <= sum(w[3] for w in want) < len(rows)
+    members = [(0, i, 0, n, len(t)) for (i, t), (_, n, *_) in zip(rows, want, strict=True)]
+    members = spark.createDataFrame(members, "region long, c1 long, c2 long, n_shingles long, chars long")
+    keyed = with_key(spark.createDataFrame(rows, "doc_id long, text string"))
+    members = members.join(keyed.select("id", "mark"), members.c1 == keyed.id)
+    node = "struct<c1: bigint, c2: bigint>"
+    none = connected_components(spark.createDataFrame([], f"a {node}, b {node}"))
+    found = completed_components(members, none, keyed, percent=85, size=5, block=3, block_chars=2000, split=7)
+    got = {r.node.c1: r.label.c1 for r in found.collect()}
+    assert {i: got.get(i, i) for i, _ in rows} == {w[0]: w[2] for w in want}
+    assert 20 <= sum(w[3] for w in want) < len(rows) - 20
 
 
 def test_components_of_chains_and_stars(spark):

@@ -74,7 +74,7 @@ def _links(size: int, percent: int):
 
 
 def completed_components(
-    members: DataFrame, groups: DataFrame, texts: DataFrame, percent: int, size: int, block: int, block_chars: int, split: int
+    members: DataFrame, groups: DataFrame, keyed: DataFrame, percent: int, size: int, block: int, block_chars: int, split: int
 ) -> DataFrame:
     """``groups`` (``node``, ``label``) after all links within crowded regions.
 
@@ -83,7 +83,8 @@ def completed_components(
     for: two rows of different components are not both inside. Asked rows go in blocks of about ``block`` rows or
     ``block_chars`` characters, and meet all rows of the region whose size allows the similarity, in parts of about ``split``.
     A block's asked rows are held in memory, the others stream past. Work is the asked rows times the rows of
-    their region, never all pairs of a group of copies. No crowded region: ``groups`` as given.
+    their region, never all pairs of a group of copies. Texts come from ``keyed`` (:func:`with_key`). No crowded
+    region: ``groups`` as given.
     """
     node = F.struct("c1", "c2")
     placed = members.join(groups, node == F.col("node"), "left").select(
@@ -137,6 +138,9 @@ def completed_components(
     )
     both = asked.unionByName(others)
     order = [*where, "block", "part"]
+    # The size of a written table is known when joins are planned: documents are not shuffled for a few rows of them.
+    wanted = rows.select("id", "mark").distinct()
+    texts = join_documents(keyed.select("id", "mark", "text"), wanted, "left_semi").dropDuplicates(["id", "mark"])
     found = (
         join_documents(both, texts, "inner")
         .select(*order, "asked", "c1", "c2", "k1", "k2", "text")

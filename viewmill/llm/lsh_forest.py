@@ -244,7 +244,7 @@ def near_duplicate_groups(
     )
     groups = connected_components(edges)
     if not crowded.isEmpty():
-        groups = completed_components(crowded, groups, texts, percent, size, region, REGION_CHARS, split)
+        groups = completed_components(crowded, groups, keyed, percent, size, region, REGION_CHARS, split)
     ids = signed.where("n_shingles > 0").groupBy("c1", "c2").agg(F.min("id").alias("least_id"))
     labelled = ids.join(groups, F.struct("c1", "c2") == F.col("node"), "left").select(
         "c1", "c2", "least_id", F.coalesce("label", F.struct("c1", "c2")).alias("label")

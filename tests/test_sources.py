@@ -72,6 +72,8 @@ def test_kafka_options():
         "failOnDataLoss": "false",
         "kafka.sasl.mechanism": "PLAIN",
     }
+    limited = kafka_options("host:1", "events", max_offsets_per_trigger=1000, min_partitions=64)
+    assert (limited["maxOffsetsPerTrigger"], limited["minPartitions"]) == ("1000", "64")
 
 
 @pytest.mark.parametrize("streaming", [True, False])

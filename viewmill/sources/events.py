@@ -16,19 +16,24 @@ def kafka_options(
     starting_offsets: str = "earliest",
     security: Mapping[str, str] | None = None,
     fail_on_data_loss: bool = False,
+    max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka connector.
 
     ``security`` takes ``security.protocol``, ``sasl.mechanism`` and ``sasl.jaas.config``; keep the
     secret out of code and logs. ``starting_offsets`` counts on the first run only, later runs go on
-    from the checkpoint.
+    from the checkpoint. ``max_offsets_per_trigger`` bounds a micro-batch of a stream: without it the first one from
+    ``earliest`` is the whole topic. ``min_partitions`` splits large topic partitions over more tasks.
     """
+    limits = {"maxOffsetsPerTrigger": max_offsets_per_trigger, "minPartitions": min_partitions}
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    options.update({name: str(value) for name, value in limits.items() if value is not None})
     options.update({f"kafka.{name}": value for name, value in (security or {}).items()})
     return options
 

@@ -167,7 +167,7 @@ def near_duplicate_groups(
     values are candidates. Where more than ``region`` share it, the prefix grows value by value, up to the whole
     label: depth adapts to each region. A region's rows lie together in label order; so many at a time are compared on
     their full shingle sets, neighbours staying together and the region's first row meeting all. Comparing gives
-    only the links that connect, never all pairs. A region of whole labels with more than ``split`` rows is dealt
+    only the links that connect, never all pairs. Regions of several orders that hold the same classes are compared once. A region of whole labels with more than ``split`` rows is dealt
     to several tasks, its first class to all of them. What that leaves in different components of one region is
     then compared too (see :mod:`viewmill.llm.crowded`), so a region's size costs no link.
 
@@ -203,8 +203,14 @@ def near_duplicate_groups(
     labels = labels.select("c1", "c2", "n_shingles", "at.*", "tree", "label", prefix(least).alias("region"))
 
     def shared(rows: DataFrame) -> DataFrame:
+        """Regions of more than one row. Of regions that hold the same rows and are compared whole, the one of one tree is enough."""
+        sets = [F.bit_xor(F.xxhash64("c1", "c2")).alias("s1"), F.bit_xor(F.xxhash64("c2", "c1")).alias("s2")]
+        tally = rows.groupBy("region").agg(F.count("*").alias("n"), F.sum("chars").alias("all_chars"), *sets).where("n > 1")
+        whole = (F.col("n") <= region) & (F.col("all_chars") <= REGION_CHARS)
+        tally = tally.withColumn("s1", F.when(whole, F.col("s1")).otherwise(F.col("region")))
+        once = tally.groupBy("n", "all_chars", "s1", "s2").agg(F.min("region").alias("region"))
         # Written, so that joins are between two plain tables: Spark can split a crowded region there.
-        return staged(rows.groupBy("region").agg(F.count("*").alias("n"), F.sum("chars").alias("all_chars")).where("n > 1"), "shared")
+        return staged(once.select("region", "n", "all_chars"), "shared")
 
     open_ = staged(labels.join(shared(labels), "region"), "regions")
     done = []

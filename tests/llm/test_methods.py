@@ -156,6 +156,26 @@ def test_crowded_regions_lose_no_link(spark):
     assert 20 <= sum(w[3] for w in want) < len(rows) - 20
 
 
+def test_pairs_that_longer_prefixes_part(spark):
+    """Templated texts in pairs: the prefixes of a crowded region grow, and a pair has no third text to join it."""
+    from viewmill.llm.lsh_forest import near_duplicate_groups
+
+    rng = random.Random(11)
+    texts = []
+    for family in range(24):
+        own = [f"w{i}" for i in range(300)] + [f"f{family}-{i}" for i in range(60)]
+        other = list(own)
+        for step in range(4):
+            other[20 + 70 * step] = f"m{family}-{step}"
+        texts += [" ".join(own), " ".join(other)]
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    found = near_duplicate_groups(spark.createDataFrame(rows, "doc_id long, text string"), trees=4, least=1, region=4, split=16)
+    got = [(r["id"], r["n_shingles"], r["component_id"], r["kept"]) for r in found.collect()]
+    want = brute.near_duplicates(rows)
+    assert sum(w[3] for w in want) == 24 and brute.ordered(got) == brute.ordered(want)
+
+
 def test_components_of_chains_and_stars(spark):
     from viewmill.llm.components import connected_components
 

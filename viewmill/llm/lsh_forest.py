@@ -145,6 +145,15 @@ def _linked(found: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a1", "a2", "b1", "b2"])
 
 
+def _crowded(regions: DataFrame, region: int) -> DataFrame:
+    """Rows of the regions at the shortest prefix that are not compared whole; of regions with the same rows those of one."""
+    rows = regions.where((F.col("n") > region) | (F.col("all_chars") > REGION_CHARS))
+    sets = [F.bit_xor(F.xxhash64("c1", "c2")).alias("s1"), F.bit_xor(F.xxhash64("c2", "c1")).alias("s2")]
+    once = rows.groupBy("region", "n").agg(*sets).groupBy("n", "s1", "s2").agg(F.min("region").alias("region"))
+    once = staged(once.select("region"), "crowded-regions")
+    return rows.join(once, "region").select("region", "c1", "c2", "id", "mark", "n_shingles", "chars")
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -168,11 +177,11 @@ def near_duplicate_groups(
     label: depth adapts to each region. A region's rows lie together in label order; so many at a time are compared on
     their full shingle sets, neighbours staying together and the region's first row meeting all. Comparing gives
     only the links that connect, never all pairs. Regions of several orders that hold the same classes are compared once. A region of whole labels with more than ``split`` rows is dealt
-    to several tasks, its first class to all of them. What that leaves in different components of one region is
-    then compared too (see :mod:`viewmill.llm.crowded`), so a region's size costs no link.
+    to several tasks, its first class to all of them. What that leaves in different components of one region of
+    ``least`` values, whether longer prefixes parted it or not, is then compared too (see
+    :mod:`viewmill.llm.crowded`), so a region's size costs no link.
 
-    What two documents share in no order is not found: 0.000007 of pairs at the threshold, where all regions stay at
-    ``least`` values; more where they are deeper.
+    Pairs that share ``least`` values in no order are not candidates: 0.000007 of pairs at the threshold.
 
     Null and empty texts have no shingles and are linked with nothing, equal ones neither: each is its own component.
     Null ids come last: a component of null ids only has a null id, and its documents are all kept. Repeated rows
@@ -213,6 +222,7 @@ def near_duplicate_groups(
         return staged(once.select("region", "n", "all_chars"), "shared")
 
     open_ = staged(labels.join(shared(labels), "region"), "regions")
+    crowded = _crowded(open_, region)
     done = []
     for n in range(least + 1, depth + 1):
         done.append(open_.where(F.col("n") <= region))
@@ -223,10 +233,7 @@ def near_duplicate_groups(
         members = members.unionByName(part)
     parts = F.ceil(F.col("n") / F.lit(split))
     members = members.withColumn("part", F.pmod(F.xxhash64("c1", "c2"), parts))
-    members = members.withColumn("cut", (F.col("n") > region) | (F.col("all_chars") > REGION_CHARS))
-    members = staged(members.select("region", "part", "n", "cut", "label", "c1", "c2", "n_shingles", "id", "mark", "chars"), "members")
-    crowded = members.where("cut").select("region", "c1", "c2", "id", "mark", "n_shingles", "chars")
-    members = members.select("region", "part", "n", "label", "c1", "c2", "id", "mark")
+    members = staged(members.select("region", "part", "n", "label", "c1", "c2", "id", "mark"), "members")
     firsts = (
         members.where(F.col("n") > split)
         .groupBy("region", "n")

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import struct
+import zlib
 from collections import Counter
+from fractions import Fraction
 
 BLANK = r"[^\x20\x09-\x0D]+"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -152,6 +156,92 @@ def statistics(text: str | None):
     return len(w), sum(map(len, w)), symbols, dup, len(again), failed
 
 
+def planted(doc_id, text):
+    """The words of a document for op11, a tenth of which are made periodic."""
+    w = words(text)
+    code = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if code % 10 or not w:
+        return w
+    n, turn = len(w), code // 10
+    a = turn % n
+    p = 1 + (n - a) // (3 + turn % 8)
+    return [w[a + (i - a) % p] if i >= a else w[i] for i in range(n)]
+
+
+def runs_of(w, least=24, times=3):
+    """All runs, by trying every period."""
+    found = []
+    for p in range(1, len(w) // times + 1):
+        i = 0
+        while i + p < len(w):
+            start = i
+            while i + p < len(w) and w[i] == w[i + p]:
+                i += 1
+            length = i - start + p
+            if length >= max(least, times * p):
+                seg = w[start : start + length]
+                if not any(seg[q:] == seg[:-q] for q in range(1, p)):
+                    found.append((start, length, p))
+            i += 1
+    return sorted(found)
+
+
+def periodic_runs(docs):
+    out = []
+    for doc_id, text in docs:
+        w = planted(doc_id, text)
+        runs = runs_of(w) if len(w) < 5000 else []
+        gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+        best = max(runs, key=lambda r: (Fraction(r[1], r[2]), -r[0], -r[2]), default=(None, None, None))
+        milli = None if best[0] is None else 1000 * best[1] // best[2]
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((doc_id, len(runs), *best, milli, sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)), sha(kept)))
+    return out
+
+
+def resampled(docs, target):
+    def features(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        grams = [" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+        return len(w), [zlib.crc32(g.encode()) % 10000 for g in grams]
+
+    rows = [(doc_id, *features(text)) for doc_id, text in docs]
+    s = Counter(b for _, _, f in rows for b in f)
+    t = Counter(b for text in target for b in features(text)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+
+    def gain(b):
+        return math.floor(1000 * math.log((t[b] + 1) * (all_s + 10000) / ((s[b] + 1) * (all_t + 10000))))
+
+    scored = []
+    for doc_id, n_words, f in rows:
+        h = int(sha(f"42:{'' if doc_id is None else doc_id}")[:8], 16)
+        weight = sum(map(gain, f))
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        scored.append((doc_id, len(f), weight, score, n_words))
+    eligible = [r for r in scored if r[4] >= 20]
+    eligible.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[1], r[2]))
+    drawn = eligible[: 5 * len(eligible) // 100]
+    out = [(*r[:4], i + 1) for i, r in enumerate(drawn)]
+    for r in drawn:
+        scored.remove(r)
+    return out + [(*r[:4], None) for r in scored]
+
+
+def coded(docs, path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    out = []
+    for doc_id, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        out.append((doc_id, len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest(), sha(decoded)))
+    return out
+
+
 def awkward() -> list[tuple]:
     """Nulls, empty and very long texts, ties and repeated rows."""
     shared = "This line is shared by Several documents."

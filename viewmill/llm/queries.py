@@ -15,11 +15,18 @@ from viewmill.llm import (
     line_dedup,
     lsh_forest,
     mixing,
+    periodic_runs,
     pii_bootstrap,
     quality_rules,
+    resampling,
     secret_ledger,
     substring_dedup,
+    word_bpe,
 )
+from viewmill.llm.common import let
+
+#: The vocabulary that op13 encodes with, among the public ones.
+VOCABULARY = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -137,6 +144,59 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth go on, from some word, with the words from there up to a period."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    turn = F.floor(code / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        start = F.pmod(turn, n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + F.pmod(turn, F.lit(8))))).cast("int")
+        times = F.ceil((n - start) / period).cast("int")
+        cycle = F.flatten(F.array_repeat(F.slice(words, start + 1, period), times))
+        return F.array_join(F.concat(F.slice(words, F.lit(1), start), F.slice(cycle, F.lit(1), n - start)), " ")
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rewritten = let(words, lambda w: F.when(F.size(w) > 0, planted(w)))
+    return docs.withColumn("text", F.when(code % 10 == 0, F.coalesce(rewritten, F.col("text"))).otherwise(F.col("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, and what is left without their repetitions."""
+    docs = with_planted_period(_table(spark, sf_dir, "documents"))
+    found = periodic_runs.collapse_periodic_runs(docs)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    best = F.col("best")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.size("runs").cast("long").alias("n_runs"),
+        *[best.getField(c).alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        _sha256(F.array_join(line, "")).alias("runs_sha256"),
+        _sha256(F.col("kept_text")).alias("collapsed_sha256"),
+    )
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by their likeness to the benchmark texts."""
+    drawn = resampling.resample_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and the text that they decode to."""
+    import public_tokenizers
+
+    coded = word_bpe.encode_and_decode(_table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        _sha256(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_mincut": op1_html_mincut,
     "op2_pii_bootstrap": op2_pii_bootstrap,
@@ -148,5 +208,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_word_bpe": op13_word_bpe,
     "pipeline": corpus_pipeline.run,
 }

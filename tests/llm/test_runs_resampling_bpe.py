@@ -193,10 +193,21 @@ def test_each_distinct_word_is_encoded_once(spark, monkeypatch):
     import pyarrow as pa
 
     monkeypatch.setattr(word_bpe, "tokenizer_of", lambda definition: Counting())
-    words = ["a", "a", "b", "c", "c", "c", "d"]
-    cut = [pa.record_batch({"block": [0] * len(w), "code": [0] * len(w), "word": w}) for w in (words[:4], words[4:])]
-    out = list(word_bpe._encode("")(iter(cut)))
-    assert seen == ["a", "b", "c", "d"] and sum(b.num_rows for b in out) == 7
+    lists = [word_bpe._listed(w) for w in ([b"a", b"b"], [b"b", b"c", b"a"], [b"a"])]
+    rows = {"block": [0, 1, 2], "range": [0, 0, 4], "words": lists}
+    batch = pa.record_batch(rows)
+    (out,) = word_bpe._encode("")(iter([batch]))
+    assert seen == ["a", "b", "c", "a"] and out.num_rows == 3
+    assert [word_bpe._grown(c).tolist() for c in out["counts"].to_pylist()] == [[1, 1], [1, 1, 1], [1]]
+
+
+def test_texts_are_shuffled_once(spark, sf_dir):
+    from viewmill.llm.queries import QUERIES
+
+    df = QUERIES["op13_word_bpe"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0] and plan.split("Initial Plan")[0].count("FileScan") == 1
 
 
 def test_tokenizers_that_look_across_blanks_are_refused():

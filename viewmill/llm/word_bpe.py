@@ -9,7 +9,6 @@ its texts as compressed word numbers, per block and hash range the words one way
 from __future__ import annotations
 
 import os
-from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -84,22 +83,25 @@ class _Block:
     """Documents of one block, packed as an Arrow stream. Frequent words have small numbers."""
 
     def __init__(self):
-        self.documents, self.marks, self.texts, self.size = [], [], [], 0
+        self.documents, self.marks, self.codes, self.words, self.size = [], [], [], {}, 0
 
     def add(self, document, mark: int, data: bytes) -> None:
+        words = data.split()
+        for w in words:
+            self.words.setdefault(w, len(self.words))
         self.documents.append(document)
         self.marks.append(mark)
-        self.texts.append(data.split())
+        self.codes.append(np.fromiter(map(self.words.__getitem__, words), dtype="<u4", count=len(words)))
         self.size += len(data)
 
     def packed(self, kind: pa.DataType) -> bytes:
-        counts = Counter()
-        for words in self.texts:
-            counts.update(words)
-        words = [w for w, _ in counts.most_common()]
-        number = {w: i for i, w in enumerate(words)}
-        sizes = [len(t) for t in self.texts]
-        codes = np.fromiter((number[w] for t in self.texts for w in t), dtype="<u4", count=sum(sizes))
+        sizes = [len(c) for c in self.codes]
+        seen = np.concatenate([np.zeros(0, "<u4"), *self.codes])
+        by_count = np.argsort(-np.bincount(seen, minlength=len(self.words)), kind="stable")
+        rank = np.empty_like(by_count)
+        rank[by_count] = np.arange(len(by_count))
+        listed = list(self.words)
+        words, codes = [listed[i] for i in by_count.tolist()], rank[seen]
         columns = {
             "ids": pa.array([self.documents], pa.list_(kind)),
             "marks": pa.array([self.marks], pa.list_(pa.int64())),

@@ -11,7 +11,7 @@ from viewmill.operators.geo import geo_lookup
 from viewmill.operators.merge import insert_if_absent
 from viewmill.plans.star import dimension, fact_views, load_star
 
-STREAMS = {"stream_star_load", "stream_replay"}
+STREAMS = {"stream_star_load", "stream_replay", "stream_remembering"}
 
 
 def plan(df) -> str:

@@ -71,3 +71,22 @@ def test_freshness(spark, kind):
 def test_freshness_uses_the_current_time(spark):
     now = spark.range(1).select(F.current_timestamp().alias("inserted_at"))
     assert freshness(now).first().status == "OK"
+
+
+def test_freshness_of_a_log_of_loads(spark, store):
+    from tests.helpers import INTERNAL, home, views
+    from viewmill.plans.star import load_star
+
+    loads = store.table("loads")
+    with pytest.raises(RuntimeError, match="loaded yet"):
+        assert_fresh(loads, "last_inserted_at", count_col="facts")
+    load_star(store, views(spark, {}, {"id": "v2"}), "a", home(spark), INTERNAL, inserted_at=LAST)
+    load_star(store, views(spark, {}), "b", home(spark), INTERNAL)
+    loads = store.table("loads")
+    limit = LAST + timedelta(minutes=10)
+    found = assert_fresh(loads, "last_inserted_at", limit, count_col="facts")
+    assert (found["last_seen"], found["total"]) == (LAST, 2)
+    with pytest.raises(RuntimeError, match="no new rows"):
+        assert_fresh(loads, "last_inserted_at", limit + timedelta(seconds=1), count_col="facts")
+    assert all("/loads/" in file for file in loads.inputFiles())
+    assert found == assert_fresh(store.table("fact_product_views"), now=limit)

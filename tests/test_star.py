@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tests.helpers import INTERNAL, home, ranges, rows, views
 from viewmill.operators.enrich import enrich
 from viewmill.operators.quality import orphans
+from viewmill.operators.stored_ids import ID_LAYOUT, id_span, in_order
 from viewmill.plans import star
 from viewmill.plans.star import LoadOptions, compact_into, dimension, fact_views, load_star
 from viewmill.plans.checks import check_star
+from viewmill.plans.marts import run_daily
 from viewmill.schemas import DIMENSIONS, FACT_KEYS
 from viewmill.sources.store import StarStore
 
@@ -154,8 +156,7 @@ def test_failure_between_dimensions_and_facts(store, monkeypatch):
         patch.setattr(star, "_load_fact", broken)
         with pytest.raises(OSError):
             load(store, "a", {}, {"id": "v2"})
-    assert store.table(FACT).count() == 0
-    assert store.table("dim_product").count() == 1
+    assert all(not found for found in content(store).values())
     load(store, "a", {}, {"id": "v2"})
     assert (store.table(FACT).count(), store.table("dim_product").count()) == (2, 1)
 
@@ -180,3 +181,175 @@ def test_hot_view_is_one_fact(spark):
     found = fact_views(enrich(many, home(spark), INTERNAL))
     assert found.count() == 1
     assert found.filter(F.col("view_id") == "v1").count() == 1
+
+
+# --- commits ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("step", ["_load_fact", "_describe_load", "_number_products"])
+def test_readers_see_nothing_of_a_load_that_failed(store, spark, monkeypatch, step):
+    def broken(*_):
+        raise OSError("disk full")
+
+    load(store, "a", {})
+    before, marts = content(store), run_daily(store, "2024-01-05")
+    changes = [{}, {"id": "v2", "product_id": "p2"}, {"id": "v3", "local_time": "2024-01-06 00:00:00"}]
+    with monkeypatch.context() as patch:
+        patch.setattr(star, step, broken)
+        with pytest.raises(OSError):
+            load(store, "b", *changes)
+        assert content(store) == before
+        assert run_daily(store, "2024-01-05") == marts
+        assert store.fact_for_day(20240106).count() == 0
+        # A load that does not know of the one that failed stores the same dimension rows itself.
+        with pytest.raises(OSError):
+            load(store, "c", *changes[1:])
+    assert load(store, "d", *changes[1:2])["dim_product"] == 1
+    done = load(store, "b", *changes)
+    assert (done[FACT], done["dim_product"], done["dim_date"]) == (1, 0, 1)
+    assert rows(store.table(FACT), "view_id") == [("v1",), ("v2",), ("v3",)]
+    assert not any(r["violations"] for r in check_star(store).collect())
+    assert store.loads.open_in(store.loads.state()) == ["c"]
+
+
+def test_a_table_read_before_a_load_stays_as_it_was(store):
+    load(store, "a", {})
+    facts = store.table(FACT)
+    name = store.begin_load("b")
+    store.add_rows(FACT, store.table(FACT).withColumn("view_id", F.lit("hidden")), name)
+    assert rows(facts, "view_id") == rows(store.table(FACT), "view_id") == [("v1",)]
+    store.commit_load(name)
+    assert rows(store.table(FACT), "view_id") == [("hidden",), ("v1",)]
+
+
+def test_load_that_ends_while_files_are_listed(store):
+    """What a reader listed before the load's last file does not count."""
+    load(store, "a", {})
+    begun = []
+
+    class Late:
+        """The markers as a reader sees them: a whole load begins and ends after its first look."""
+
+        def __getattr__(self, name):
+            return getattr(loads, name)
+
+        def state(self):
+            found = loads.state()
+            if not begun:
+                begun.append("b=1")
+                other = StarStore(store.spark, store.root)
+                name = other.begin_load("b=1")
+                other.add_rows(FACT, other.read_loads(FACT, ["a"]).withColumn("view_id", F.lit("late")), name)
+                other.commit_load(name)
+                begun.append(name)
+            return found
+
+    loads, store.loads = store.loads, Late()
+    assert rows(store.table(FACT), "view_id") == [("late",), ("v1",)]
+    assert begun == ["b=1", "b=1"]
+
+
+def test_what_a_load_leaves_behind(store, spark):
+    at = datetime(2024, 2, 1)
+    changes = [{"id": f"v{i}", "product_id": f"p{i % 3}", "local_time": f"2024-01-0{5 + i % 2} 10:00:00"} for i in range(10)]
+    load_star(store, views(spark, *changes, {"id": None}), "a", home(spark), INTERNAL, inserted_at=at)
+    load_star(store, views(spark, *changes, {"id": "w", "product_id": "p9"}), "b", home(spark), INTERNAL, inserted_at=at)
+    found = rows(store.table("loads").drop("last_inserted_at"))
+    assert found == [("a", 11, 10, [20240105, 20240106], "v0", "v9"), ("b", 11, 1, [20240105], "w", "w")]
+    assert rows(store.table("view_ids")) == [(f"v{i}",) for i in range(10)] + [("w",)]
+    numbers = rows(store.table("product_numbers"))
+    assert len(numbers) == 4 and len({n for _, n in numbers}) == 4
+
+
+def test_loads_that_are_delivered_again_have_names_of_their_own(store):
+    load(store, "a", {})
+    load(store, "a", {"id": "v2"})
+    load(store, "a", {"id": "v3"})
+    assert sorted(r[0] for r in rows(store.table("loads"), "load_id")) == ["a", "a+1", "a+2"]
+    assert store.table(FACT).count() == 3
+
+
+# --- stored ids -------------------------------------------------------------------------------
+
+
+def scanned_rows(df) -> int:
+    """Rows that scans of files had to give out to compute ``df``."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(
+        leaves.apply(i).metrics().apply("numOutputRows").value()
+        for i in range(leaves.size())
+        if leaves.apply(i).getClass().getSimpleName() == "FileSourceScanExec"
+    )
+
+
+def ids_of(store, spark, ids, load_id):
+    """Store ids as a load of that name does."""
+    name = store.begin_load(load_id)
+    table = spark.createDataFrame([(i,) for i in ids], "view_id string")
+    store.add_as_is("view_ids", in_order(table, "view_id"), name, ID_LAYOUT)
+    described = [(name, len(ids), len(ids), datetime(2024, 1, 1), [], min(ids), max(ids))]
+    store.add_as_is("loads", spark.createDataFrame(described, star.LOADS.schema), name)
+    store.commit_load(name)
+
+
+def looked_up(store, spark, ids):
+    table = spark.createDataFrame([(i,) for i in ids], "view_id string")
+    span = id_span(table, "view_id", len(ids), min(ids), max(ids))
+    found = star.stored_matches(store, span)
+    return found.join(table, "view_id", "left_semi"), found
+
+
+def test_a_batch_reads_the_same_from_few_and_from_many_loads(store, spark):
+    """Ids that grow: what is read does not grow with history, and late ids cost their own load only."""
+    size, read = 300, {}
+    for n in range(40):
+        ids_of(store, spark, [f"{n * size + i:012d}" for i in range(size)], f"l{n:03d}")
+        if n in (9, 39):
+            fresh = [f"{(n + 1) * size + i:012d}" for i in range(size)]
+            again, found = looked_up(store, spark, [*fresh, f"{(n - 1) * size + 7:012d}", f"{3:012d}"])
+            assert rows(again) == [(f"{3:012d}",), (f"{(n - 1) * size + 7:012d}",)]
+            read[n] = scanned_rows(found)
+    assert 0 < read[9] == read[39] <= 2 * size
+
+
+def test_few_ids_without_order_are_met_by_bloom_filters(store, spark):
+    import hashlib
+
+    def scattered(n):
+        return [hashlib.md5(f"{n}-{i}".encode()).hexdigest() for i in range(1000)]
+
+    read = {}
+    for n in range(12):
+        ids_of(store, spark, scattered(n), f"l{n:03d}")
+        if n in (3, 11):
+            again, found = looked_up(store, spark, scattered(99)[:100])
+            assert rows(again) == []
+            read[n] = scanned_rows(found)
+            again, _ = looked_up(store, spark, [*scattered(99)[:100], scattered(2)[500]])
+            assert rows(again) == [(scattered(2)[500],)]
+    assert read[11] <= 1000
+
+
+def test_spans_hold_every_id_of_their_batch(spark):
+    import random
+
+    rng = random.Random(4)
+    for _ in range(12):
+        pool = rng.choice([["a", "aé", "b", "𝄞", ""], ["id-1", "id-11", "id-2", "id-", "x"], ["7"]])
+        ids = sorted({rng.choice(pool) + str(rng.randrange(10 ** rng.randint(1, 12))) for _ in range(400)})
+        table = spark.createDataFrame([(i,) for i in ids], "view_id string")
+        low, high = table.agg(F.min("view_id"), F.max("view_id")).first()
+        span = id_span(table, "view_id", len(ids) + 1000, low, high)
+        assert table.filter(span.may_hold("view_id")).count() == len(ids)
+        middle = spark.createDataFrame([(a, b) for a, b in span.gaps], "a string, b string")
+        assert middle.withColumn("x", F.concat("a", F.lit("\x01"))).filter("x < b").filter(span.may_hold("x")).count() == 0
+
+
+def test_large_batch_of_long_ids_is_not_broadcast(store, monkeypatch):
+    monkeypatch.setattr(star, "BROADCAST_ID_BYTES", 5)
+    load(store, "a", {}, {"id": "v2"})
+    assert load(store, "b", {}, {"id": "v3"})[FACT] == 1

@@ -258,7 +258,28 @@ _BODIES: dict[str, str] = {
     "preview_events": "SELECT event_id, event_type, props FROM events ORDER BY event_id LIMIT 5",
     "stream_star_load": _STAR_ROWS,
     "stream_replay": _STAR_ROWS,
+    "stream_remembering": _STAR_ROWS,
+    "refreshed_top_products": "SELECT * FROM top_by_day WHERE rank <= 50",
+    "refreshed_traffic_breakdown": "SELECT * FROM breakdown",
+    "merged_distinct_products": """
+        SELECT sk_date, count(*) AS view_count, count(DISTINCT sk_product) AS unique_products
+        FROM fact GROUP BY sk_date""",
+    "loads_log": """
+        SELECT 'early' AS load_id, (SELECT count(*) FROM early) AS views, count(*) AS facts,
+            '2024-01-30 23:52:30.000000' AS last_inserted_at, CAST(count(DISTINCT sk_date) AS INTEGER) AS days,
+            min(view_id) AS low_id, max(view_id) AS high_id
+        FROM fact_early
+        UNION ALL
+        SELECT 'later', (SELECT count(*) FROM enriched), count(*), '2024-01-30 23:53:20.000000',
+            CAST(count(DISTINCT sk_date) AS INTEGER), min(view_id), max(view_id)
+        FROM fact WHERE view_id NOT IN (SELECT view_id FROM fact_early)""",
+    "freshness_of_loads": """
+        SELECT '2024-01-30 23:53:20.000000' AS last_seen, count(*) AS total, CAST(400 AS BIGINT) AS lag_seconds,
+            'OK' AS status
+        FROM fact""",
+    "known_view_ids": "SELECT view_id FROM fact",
 }
+_BODIES["refreshed_views_by_country"] = _BODIES["daily_views_by_country"]
 
 
 def _constraints() -> str:

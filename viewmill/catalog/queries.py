@@ -14,16 +14,19 @@ from viewmill.operators.enrich import enrich, enrich_in_place, with_device, with
 from viewmill.operators.geo import geo_lookup
 from viewmill.operators.merge import add_column_if_missing, first_per_key, insert_if_absent, upsert
 from viewmill.operators.quality import duplicate_keys, freshness, orphans, overlong_values, split_valid
+from viewmill.operators.stored_ids import id_span
 from viewmill.operators.ranking import rank_in_group, top_n_per_group
 from viewmill.plans.checks import check_tables
+from viewmill.plans.increments import merged_products
 from viewmill.plans.marts import (
     product_counts,
+    refresh_marts,
     run_sql,
     top_products,
     traffic_breakdown,
     views_by_country,
 )
-from viewmill.plans.star import dimension, fact_views, load_star
+from viewmill.plans.star import dimension, fact_views, load_star, stored_matches
 from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS, VIEW_REQUIRED
 from viewmill.session import scratch_dir
 from viewmill.sources import events as ev
@@ -38,6 +41,7 @@ FIRST_LOAD_UNTIL = "2024-01-16 12:00:00"
 ROLLUP_DAY = "2024-01-05"
 CHECKED_AT = datetime(2024, 1, 31)
 BACKFILLED_AT = datetime(2024, 2, 1)
+FIRST_LOAD_AT, SECOND_LOAD_AT = datetime(2024, 1, 30, 23, 52, 30), datetime(2024, 1, 30, 23, 53, 20)
 
 # The daily top products as SQL text, the form in which roll-ups are handed to ``run_sql``.
 TOP_PRODUCTS_SQL = """
@@ -106,6 +110,23 @@ def stored_star(spark: SparkSession, sf_dir: str) -> StarStore:
     return _stars[key]
 
 
+_two_load_stars: dict[tuple[str, str], StarStore] = {}
+
+
+def two_load_star(spark: SparkSession, sf_dir: str) -> StarStore:
+    """A star of two loads, the later one with all views again, whose marts were brought up to date after each."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _two_load_stars:
+        store = StarStore(spark, scratch_dir(spark, "loads")).init()
+        ranges, views = td.ip_ranges(spark, sf_dir), _views(spark, sf_dir)
+        early = views.filter(F.col("local_time") < FIRST_LOAD_UNTIL)
+        for load_id, delivered, at in (("early", early, FIRST_LOAD_AT), ("later", views, SECOND_LOAD_AT)):
+            load_star(store, delivered, load_id, ranges, td.INTERNAL_KEYWORDS, inserted_at=at)
+            refresh_marts(store)
+        _two_load_stars[key] = store
+    return _two_load_stars[key]
+
+
 # --- sources, decoding, projection ------------------------------------------------------------
 
 
@@ -314,6 +335,39 @@ def mart_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(stored, fresh, ["sk_date", "traffic_type"], ["view_count"])
 
 
+# --- loads and what they leave behind ---------------------------------------------------------
+
+
+def _refreshed(name: str) -> Query:
+    return lambda spark, sf_dir: two_load_star(spark, sf_dir).table(name)
+
+
+def merged_distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct products per day, from the bitmaps that two loads made per day and country."""
+    increments = two_load_star(spark, sf_dir).table("country_increments")
+    return merged_products(increments, "sk_date")
+
+
+def loads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = two_load_star(spark, sf_dir).table("loads")
+    return portable(loads.withColumn("days", F.size("days")))
+
+
+def fresh_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = two_load_star(spark, sf_dir).table("loads")
+    return portable(freshness(loads, "last_inserted_at", CHECKED_AT, count_col="facts"))
+
+
+def known_view_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the ids of all events, views or not, those that are stored."""
+    store = two_load_star(spark, sf_dir)
+    ids = _raw(spark, sf_dir).select(F.col("id").alias("view_id")).filter(F.col("view_id").isNotNull())
+    low, high, n = ids.agg(F.min("view_id"), F.max("view_id"), F.count(F.lit(1))).first()
+    if not n:
+        return ids
+    return stored_matches(store, id_span(ids, "view_id", n, low, high)).join(ids, "view_id", "left_semi")
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
@@ -354,11 +408,14 @@ def fresh_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming --------------------------------------------------------------------------------
 
 
-def _stream_into(store: StarStore, spark: SparkSession, sf_dir: str) -> None:
+def _stream_into(store: StarStore, spark: SparkSession, sf_dir: str, remember: str | None = None) -> None:
     # The pattern matches just the events table, be it one file or a folder of them; a plain path
     # would have to be a folder.
     events = spark.readStream.schema(td.EVENT_COLUMNS).parquet(f"{sf_dir}/events.parque[t]")
     records = _records(td.raw_views_of(events, td.table(spark, sf_dir, "pages")))
+    if remember:
+        # Every event is delivered twice.
+        records = records.unionAll(records)
     start_star_stream(
         store,
         records,
@@ -366,6 +423,7 @@ def _stream_into(store: StarStore, spark: SparkSession, sf_dir: str) -> None:
         td.ip_ranges(spark, sf_dir),
         td.INTERNAL_KEYWORDS,
         trigger={"availableNow": True},
+        remember=remember,
     ).awaitTermination()
 
 
@@ -402,6 +460,13 @@ def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star_rows(store)
 
 
+def stream_remembering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that delivers every event twice and drops the second ones by keyed state."""
+    store = StarStore(spark, scratch_dir(spark, "remembering")).init()
+    _stream_into(store, spark, sf_dir, "1 hour")
+    return _star_rows(store)
+
+
 QUERIES: dict[str, Query] = {
     "filter_product_views": filter_product_views,
     "time_dims": time_dims,
@@ -445,4 +510,12 @@ QUERIES: dict[str, Query] = {
     "preview_events": preview_events,
     "stream_star_load": stream_star_load,
     "stream_replay": stream_replay,
+    "stream_remembering": stream_remembering,
+    "refreshed_views_by_country": _refreshed("agg_daily_views_by_country"),
+    "refreshed_top_products": _refreshed("agg_daily_top_products"),
+    "refreshed_traffic_breakdown": _refreshed("agg_daily_traffic_breakdown"),
+    "merged_distinct_products": merged_distinct_products,
+    "loads_log": loads_log,
+    "freshness_of_loads": fresh_loads,
+    "known_view_ids": known_view_ids,
 }

@@ -76,12 +76,17 @@ def _micros(df: DataFrame, column: str) -> Column:
 
 
 def freshness(
-    df: DataFrame, ts_col: str = "inserted_at", now: datetime | None = None, threshold_minutes: int = 10
+    df: DataFrame,
+    ts_col: str = "inserted_at",
+    now: datetime | None = None,
+    threshold_minutes: int = 10,
+    count_col: str | None = None,
 ) -> DataFrame:
     """One row: ``last_seen``, ``total``, ``lag_seconds`` and ``status``.
 
     ``EMPTY`` without rows, ``STALE`` when the lag exceeds the threshold, else ``OK``. ``now`` defaults
-    to the current time; without a zone it counts as UTC.
+    to the current time; without a zone it counts as UTC. With ``count_col`` a row of ``df`` stands for so many, as in
+    a log of loads.
     """
     if now is None:
         now_micros = F.unix_micros(F.current_timestamp())
@@ -89,8 +94,9 @@ def freshness(
         aware = now if now.tzinfo else now.replace(tzinfo=timezone.utc)
         since = aware - datetime(1970, 1, 1, tzinfo=timezone.utc)
         now_micros = F.lit((since.days * 86400 + since.seconds) * 1_000_000 + since.microseconds)
-    seen = df.select(_micros(df, ts_col).alias("_micros")).agg(
-        F.max("_micros").alias("_last"), F.count(F.lit(1)).alias("total")
+    total = F.count(F.lit(1)) if count_col is None else F.coalesce(F.sum(count_col), F.lit(0))
+    seen = df.select(_micros(df, ts_col).alias("_micros"), *([count_col] if count_col else [])).agg(
+        F.max("_micros").alias("_last"), total.alias("total")
     )
     lag = now_micros - F.col("_last")
     return seen.select(
@@ -105,10 +111,14 @@ def freshness(
 
 
 def assert_fresh(
-    df: DataFrame, ts_col: str = "inserted_at", now: datetime | None = None, threshold_minutes: int = 10
+    df: DataFrame,
+    ts_col: str = "inserted_at",
+    now: datetime | None = None,
+    threshold_minutes: int = 10,
+    count_col: str | None = None,
 ) -> dict:
     """The :func:`freshness` row as a dict; ``RuntimeError`` unless its status is ``OK``."""
-    found = freshness(df, ts_col, now, threshold_minutes).first().asDict()
+    found = freshness(df, ts_col, now, threshold_minutes, count_col).first().asDict()
     if found["status"] == "EMPTY":
         raise RuntimeError("no rows have been loaded yet")
     if found["status"] == "STALE":

@@ -1,8 +1,8 @@
-"""Daily roll-ups of the star and their upkeep."""
+"""Daily roll-ups of the star and their upkeep, from facts or from what loads have counted."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -12,32 +12,14 @@ from viewmill.functions.dates import sk_date_for
 from viewmill.operators.merge import upsert
 from viewmill.operators.quality import assert_unique
 from viewmill.operators.ranking import top_n_per_group
-from viewmill.operators.sizing import DEFAULT_LIMIT, BroadcastLimit, fits_broadcast
-from viewmill.schemas import DIMENSIONS, FACT, MARTS, UNKNOWN
+from viewmill.operators.sizing import DEFAULT_LIMIT, BroadcastLimit
+from viewmill.plans.increments import counted_join, merged_products
+from viewmill.schemas import COUNTRY_INCREMENTS, DIMENSIONS, FACT, LOADS, MART_LOADS, MARTS, UNKNOWN
 from viewmill.sources.store import StarStore
 
 TOP_N = 50
 
 
-def counted_join(
-    fact: DataFrame,
-    by: Sequence[str],
-    dim: DataFrame,
-    key: str,
-    how: str,
-    limit: BroadcastLimit = DEFAULT_LIMIT,
-) -> DataFrame:
-    """Fact rows joined to ``dim`` on ``key``, folded to columns ``by`` with their number in ``_views``.
-
-    A dimension within ``limit`` is broadcast and the facts stay where they are. For a bigger one the
-    facts are counted per ``by`` before the join: what is then shuffled by ``key`` is one row per
-    combination, so a product or place with a third of all views is as light as any other.
-    """
-    if fits_broadcast(dim, limit):
-        return fact.select(*by, F.lit(1).cast("bigint").alias("_views")).join(F.broadcast(dim), key, how)
-    return fact.groupBy(*by).agg(F.count(F.lit(1)).alias("_views")).join(dim, key, how)
-
-
 def views_by_country(fact: DataFrame, dim_location: DataFrame, limit: BroadcastLimit = DEFAULT_LIMIT) -> DataFrame:
     """Views and distinct products per day and country; views without a known place count as UNKNOWN."""
     place = dim_location.select("sk_location", "country_code", "country_name")
@@ -119,6 +101,49 @@ def run_daily(store: StarStore, ds: str, top_n: int = TOP_N, mode: str = "replac
     return written
 
 
+def waiting_loads(store: StarStore) -> DataFrame:
+    """Committed loads that the marts do not hold yet, with the days they touch."""
+    loads = store.table(LOADS.name).select("load_id", "days")
+    return loads.join(store.table(MART_LOADS.name), "load_id", "left_anti")
+
+
+def refresh_marts(store: StarStore, top_n: int = TOP_N) -> list[int]:
+    """Bring the marts up to date with all loads committed since the last refresh; returns the days that were touched.
+
+    A load says which days its facts are of, so a late view brings up its own day and no other. Views and products per
+    country are merged from what each load counted (see ``plans.increments``); top products and traffic are counted
+    again from the facts of those days. Loads are marked as held after their days are written: if that fails, the next
+    refresh does the same days again, with the same result.
+    """
+    waiting = waiting_loads(store).collect()
+    days = sorted({day for load in waiting for day in load["days"]})
+    if days:
+        fact = store.read_days(FACT.name, days).select(*FACT.columns)
+        increments = store.read_days(COUNTRY_INCREMENTS.name, days)
+        marts = {
+            "agg_daily_views_by_country": merged_products(increments, "sk_date", "country_code", "country_name"),
+            "agg_daily_top_products": top_products(fact, store.table("dim_product"), top_n),
+            "agg_daily_traffic_breakdown": traffic_breakdown(fact, store.table("dim_traffic_source")),
+        }
+        for name, mart in marts.items():
+            _replace_days(store, name, mart)
+    if waiting:
+        held = store.spark.createDataFrame([(load["load_id"],) for load in waiting], MART_LOADS.schema)
+        held.coalesce(1).write.mode("append").parquet(store.path(MART_LOADS.name))
+    return days
+
+
+def _replace_days(store: StarStore, name: str, mart: DataFrame) -> None:
+    """Check the key of new mart rows and write them over their days."""
+    # A few rows per day (countries, top products, traffic types), used twice.
+    rows = mart.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        assert_unique(rows, MARTS[name].key, name)
+        store.write_days(name, rows)
+    finally:
+        rows.unpersist()
+
+
 def run_sql(store: StarStore, sql: str, ds: str, params: Mapping[str, object] | None = None) -> DataFrame:
     """A roll-up given as SQL text over the star's table names.
 

@@ -2,34 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial, reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from viewmill.operators.enrich import enrich
 from viewmill.operators.merge import absent_rows, distinct_per_key, first_per_key
 from viewmill.operators.quality import reject_reason
+from viewmill.operators.stored_ids import ID_LAYOUT, IdSpan, id_span, in_order
+from viewmill.plans.increments import country_increments
 from viewmill.schemas import (
+    COUNTRY_INCREMENTS,
     DIMENSIONS,
     FACT,
     FACT_KEYS,
+    LOADS,
     MARTS,
+    PRODUCT_NUMBERS,
     REJECTED,
+    VIEW_IDS,
     VIEW_MAX_LENGTH,
     VIEW_REQUIRED,
 )
 from viewmill.session import scratch_dir
 from viewmill.sources.store import StarStore
 
-# Up to this many views, their ids (255 characters at most, checked before) are broadcast to find
-# the stored ones; beyond it the stored ids are shuffled.
+# Up to this many views with ids of so many bytes, the ids are broadcast to find the stored ones; beyond it the stored
+# ids are shuffled.
 BROADCAST_VIEW_IDS = 500_000
+BROADCAST_ID_BYTES = 64 * 1024 * 1024
+
+# Only loads that may hold ids of a batch are read; more of them than this are read as one table.
+NAMED_LOADS = 1000
 
 # Event fields no table but that of rejected views has.
 REJECT_ONLY = ("ip", "user_agent", "current_url", "referrer_url", "collection")
@@ -85,9 +95,9 @@ def load_enriched(
 ) -> dict[str, int]:
     """Insert what is new in enriched views into the star; returns the rows inserted per table.
 
-    Rows already stored win, those of an earlier attempt at the same load included. Dimensions are written before
-    facts, and nothing of either is ever removed, so facts never point to nothing. There is no transaction over several
-    tables; a load that failed half-way is simply repeated, with the same, fewer or more views, and adds what is missing.
+    Rows already stored win. Nothing that readers have seen is ever removed. Dimensions, facts and what is kept beside
+    them become visible together, when all are written: of a load that fails half-way readers see nothing, and it is
+    simply repeated. A committed load that is delivered again, with the same, fewer or more views, adds what is missing.
     The rejected views of a load are those of its last attempt.
     """
     judged = enriched.withColumn("reason", reject_reason(VIEW_REQUIRED, VIEW_MAX_LENGTH))
@@ -95,9 +105,13 @@ def load_enriched(
     judged = judged.withColumns({c: F.when(F.col("reason").isNotNull(), F.col(c)) for c in REJECT_ONLY})
     judged, release = _stage(store, judged, options.staged)
     try:
+        valid_id = F.when(F.col("reason").isNull(), F.col("view_id"))
         size = judged.agg(
             F.count(F.lit(1)).alias("views"),
             F.count("reason").alias("rejected"),
+            F.coalesce(F.sum(F.octet_length(valid_id)), F.lit(0)).alias("id_bytes"),
+            F.min(valid_id).alias("low_id"),
+            F.max(valid_id).alias("high_id"),
         ).first()
         done = {"views": size.views, REJECTED.name: size.rejected}
         if size.rejected and options.strict:
@@ -106,8 +120,10 @@ def load_enriched(
         if size.views == size.rejected:
             return done
         valid = judged.filter(F.col("reason").isNull())
-        done |= _load_dimensions(store, valid, load_id)
-        done |= _load_fact(store, valid, load_id, size, inserted_at)
+        name = store.begin_load(load_id)
+        _write_star(store, valid, name, size, inserted_at)
+        done |= _describe_load(store, name, size.views)
+        store.commit_load(name)
         return done
     finally:
         release()
@@ -123,40 +139,95 @@ def _stage(store: StarStore, judged: DataFrame, staged: bool):
     return kept, kept.unpersist
 
 
-def _insert(store: StarStore, name: str, rows: DataFrame, load_id: str) -> dict[str, int]:
-    counted = Observation(f"{name}-{load_id}")
-    store.add_rows(name, rows.observe(counted, F.count(F.lit(1)).alias("rows")), load_id)
-    try:
-        return {name: counted.get["rows"]}
-    except Py4JJavaError as error:
-        # Nothing was inserted: a plan found empty at run time is dropped together with its counter, and reading
-        # the counter then fails an assertion. Whatever else fails is a failure.
-        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
-            raise
-        return {name: 0}
+def _together(store: StarStore, jobs: Iterable[Callable[[], object]]) -> list:
+    """Results of jobs that do not depend on each other, submitted at the same time."""
+    jobs = list(jobs)
+    spread = inheritable_thread_target(store.spark)
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [job.result() for job in [pool.submit(spread(job)) for job in jobs]]
 
 
-def _load_dimensions(store: StarStore, valid: DataFrame, load_id: str) -> dict[str, int]:
-    """The dimensions do not depend on each other: their jobs are submitted together."""
+def _write_star(store: StarStore, valid: DataFrame, load_id: str, size: Row, inserted_at: datetime | None) -> None:
+    """Dimensions and facts. No order is needed, as none of them counts before the load is committed."""
+    _together(
+        store,
+        [partial(_load_fact, store, valid, load_id, size, inserted_at)]
+        + [partial(_load_dimension, store, valid, name, load_id) for name in DIMENSIONS],
+    )
 
-    def load(name: str) -> dict[str, int]:
-        new = absent_rows(dimension(valid, name), store.read(name), DIMENSIONS[name].key)
-        return _insert(store, name, new, load_id)
 
-    spread = inheritable_thread_target(store.spark)
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        jobs = [pool.submit(spread(load), name) for name in DIMENSIONS]
-        return {name: rows for job in jobs for name, rows in job.result().items()}
+def _load_dimension(store: StarStore, valid: DataFrame, name: str, load_id: str) -> None:
+    new = absent_rows(dimension(valid, name), store.read(name), DIMENSIONS[name].key)
+    store.add_rows(name, new, load_id)
 
 
-def _load_fact(store, valid, load_id, size, inserted_at) -> dict[str, int]:
-    stored = store.read(FACT.name).select("view_id")
-    if size.views <= BROADCAST_VIEW_IDS:
+def _load_fact(store: StarStore, valid: DataFrame, load_id: str, size: Row, inserted_at: datetime | None) -> None:
+    few = size.views <= BROADCAST_VIEW_IDS and size.id_bytes <= BROADCAST_ID_BYTES
+    if few:
+        span = id_span(valid, "view_id", size.views - size.rejected, size.low_id, size.high_id)
+        stored = stored_matches(store, span)
         # Few views: reduce the stored ids to those at issue where they are read, without a shuffle.
         stored = stored.join(F.broadcast(valid.select("view_id")), "view_id", "left_semi")
+    else:
+        stored = stored_matches(store, IdSpan(size.low_id, size.high_id))
     new = absent_rows(fact_views(valid), stored, FACT.key)
     now = F.current_timestamp() if inserted_at is None else F.lit(inserted_at)
-    return _insert(store, FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
+    store.add_rows(FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
+
+
+def stored_matches(store: StarStore, span: IdSpan) -> DataFrame:
+    """Stored ids that can be in a batch, from the loads and row groups that can hold any of it."""
+    loads = store.table(LOADS.name)
+    named = [r[0] for r in loads.filter(span.may_overlap("low_id", "high_id")).select("load_id").limit(NAMED_LOADS + 1).collect()]
+    ids = store.read(VIEW_IDS.name) if len(named) > NAMED_LOADS else store.read_loads(VIEW_IDS.name, named)
+    return ids.filter(span.may_hold("view_id")).select("view_id")
+
+
+def _describe_load(store: StarStore, load_id: str, views: int) -> dict[str, int]:
+    """What later loads, roll-ups and checks need to know of a load, from the files it has written; returns its rows per
+    table. Files are read back because a counter inside the plan counts the rows of a repeated task twice."""
+    facts = store.read_loads(FACT.name, [load_id])
+
+    def of_dimensions() -> dict[str, int]:
+        parts = [store.read_loads(n, [load_id]).select(F.lit(n).alias("name")) for n in DIMENSIONS]
+        counted = reduce(DataFrame.unionAll, parts).groupBy("name").count().collect()
+        return dict.fromkeys(DIMENSIONS, 0) | {r["name"]: r["count"] for r in counted}
+
+    def of_facts() -> Row:
+        return facts.agg(
+            F.count(F.lit(1)).alias("facts"),
+            F.max("inserted_at").alias("last_inserted_at"),
+            F.array_sort(F.collect_set("sk_date")).alias("days"),
+            F.min("view_id").alias("low_id"),
+            F.max("view_id").alias("high_id"),
+        ).first()
+
+    def ids() -> None:
+        store.add_as_is(VIEW_IDS.name, in_order(facts, "view_id"), load_id, ID_LAYOUT)
+
+    def increments() -> None:
+        _number_products(store, load_id)
+        numbers = store.read(PRODUCT_NUMBERS.name).unionByName(store.read_loads(PRODUCT_NUMBERS.name, [load_id]))
+        places = store.read("dim_location").unionByName(store.read_loads("dim_location", [load_id]))
+        store.add_as_is(COUNTRY_INCREMENTS.name, country_increments(facts, places, numbers), load_id)
+
+    dimensions, found, *_ = _together(store, [of_dimensions, of_facts, ids, increments])
+    row = {"load_id": load_id, "views": views, **found.asDict()}
+    described = store.spark.createDataFrame([tuple(row[c] for c in LOADS.columns)], LOADS.schema)
+    store.add_as_is(LOADS.name, described.coalesce(1), load_id)
+    return {**dimensions, FACT.name: found.facts}
+
+
+def _number_products(store: StarStore, load_id: str) -> None:
+    """Give each product that a load adds a number of its own, for bitmaps of products.
+
+    Numbers go on from the greatest one; each task of the write has a stretch of its own. They are written once and
+    never change.
+    """
+    last = store.read(PRODUCT_NUMBERS.name).agg(F.max("number")).first()[0] or 0
+    new = store.read_loads("dim_product", [load_id]).select("sk_product")
+    numbered = new.withColumn("number", F.monotonically_increasing_id() + F.lit(last + 1))
+    store.add_as_is(PRODUCT_NUMBERS.name, numbered, load_id)
 
 
 def compact_into(store: StarStore, target: StarStore) -> dict[str, int]:
@@ -165,14 +236,15 @@ def compact_into(store: StarStore, target: StarStore) -> dict[str, int]:
     Frequent small loads leave many small files behind; readers switch to ``target`` when it is done.
     """
     target.init()
-    load_id = "compacted"
-    done = {}
-    for name in DIMENSIONS:
-        rows = distinct_per_key(store.table(name), DIMENSIONS[name].key)
-        done |= _insert(target, name, rows, load_id)
+    load_id = target.begin_load("compacted")
     facts = first_per_key(store.table(FACT.name), FACT.key, ["inserted_at"])
-    done |= _insert(target, FACT.name, facts, load_id)
-    done |= _insert(target, REJECTED.name, store.table(REJECTED.name), load_id)
+    target.add_rows(FACT.name, facts, load_id)
+    for name in DIMENSIONS:
+        target.add_rows(name, distinct_per_key(store.table(name), DIMENSIONS[name].key), load_id)
+    target.add_rows(REJECTED.name, store.table(REJECTED.name), load_id)
     for name in MARTS:
         target.write_days(name, store.table(name))
+    views = store.table(LOADS.name).agg(F.coalesce(F.sum("views"), F.lit(0))).first()[0]
+    done = _describe_load(target, load_id, views)
+    target.commit_load(load_id)
     return done

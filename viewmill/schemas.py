@@ -185,7 +185,45 @@ REJECTED = _table(
     partitions="load_id",
 )
 
-TABLES = {**DIMENSIONS, FACT.name: FACT, **MARTS, REJECTED.name: REJECTED}
+# What a load leaves beside the star, so that later loads, roll-ups and checks need not read the facts again.
+LOADS = _table(
+    "loads",
+    "load_id",
+    {
+        "load_id": T.StringType(),
+        "views": _LONG,
+        "facts": _LONG,
+        "last_inserted_at": T.TimestampType(),
+        "days": T.ArrayType(_INT),
+        "low_id": 255,
+        "high_id": 255,
+    },
+    "views facts",
+    "load_id",
+)
+VIEW_IDS = _table("view_ids", "view_id", {"view_id": 255}, partitions="load_id")
+PRODUCT_NUMBERS = _table(
+    "product_numbers", "sk_product", {"sk_product": 255, "number": _LONG}, "number", "load_id"
+)
+COUNTRY_INCREMENTS = _table(
+    "country_increments",
+    "sk_date country_code country_name bucket load_id",
+    {
+        "sk_date": _INT,
+        "country_code": 10,
+        "country_name": 255,
+        "bucket": _LONG,
+        "products": T.BinaryType(),
+        "view_count": _LONG,
+        "load_id": T.StringType(),
+    },
+    "view_count",
+    "sk_date load_id",
+)
+MART_LOADS = _table("mart_loads", "load_id", {"load_id": T.StringType()})
+LOAD_RESULTS = {t.name: t for t in (LOADS, VIEW_IDS, PRODUCT_NUMBERS, COUNTRY_INCREMENTS, MART_LOADS)}
+
+TABLES = {**DIMENSIONS, FACT.name: FACT, **MARTS, REJECTED.name: REJECTED, **LOAD_RESULTS}
 
 # What an enriched view must satisfy before it may enter the star: the NOT NULL columns fed from the
 # event (an unreadable local_time shows up as a NULL sk_date) and every bounded string.

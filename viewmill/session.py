@@ -19,6 +19,12 @@ SETTINGS = {
     # The JVM never compiles methods beyond 8,000 bytes, and the fused code of all enrichments is
     # longer than that. With this limit Spark generates it operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # So many equal values of a column are compared with row groups one by one (see operators/stored_ids.py).
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
+    # Keyed state of streams is kept on executors' disks, with changes in the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -10,19 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewmill.schemas import TABLES, Table
+from viewmill.sources.commits import Folders, OpenLoads
 
 
 class StarStore:
     """Reads and writes the tables of :data:`viewmill.schemas.TABLES` below ``root``.
 
-    Dimensions, facts and rejected views carry a ``load_id`` partition. Loads only ever add dimension rows and facts;
-    the rejected views of a load are replaced when it is repeated. Facts and marts are also partitioned by ``sk_date``.
-    One writer at a time per table is assumed.
+    What loads write carries a ``load_id`` partition and becomes visible all at once, in every table, when the load is
+    committed (see :class:`OpenLoads`). Loads only ever add; the rejected views of a load are replaced when it is
+    repeated. Facts, their increments and marts are also partitioned by ``sk_date``.
+
+    One writer at a time is assumed, and any number of readers. A table shows the loads committed when it was read; of
+    tables that belong together read the facts first, then dimensions, which may only have more.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.folders = Folders(spark, self.root)
+        self.loads = OpenLoads(self.folders)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -38,31 +44,68 @@ class StarStore:
             list(pool.map(inheritable_thread_target(self.spark)(create), TABLES.values()))
         return self
 
+    def _committed(self, name: str, paths: list[str]) -> DataFrame:
+        """Rows of committed loads in files of a table. The schema is declared, never inferred.
+
+        Files are listed when the table is read, so loads that are open before or after that are left out; if any began
+        or ended meanwhile, the files are listed again.
+        """
+        reader = self.spark.read.schema(TABLES[name].stored_schema).option("basePath", self.path(name))
+        if "load_id" not in TABLES[name].partitions:
+            return reader.parquet(*paths)
+        while True:
+            before = self.loads.state()
+            rows = reader.parquet(*paths)
+            if self.loads.state() == before:
+                hidden = self.loads.open_in(before)
+                return rows.filter(~F.col("load_id").isin(hidden)) if hidden else rows
+
     def read(self, name: str) -> DataFrame:
-        """A whole table, its partition columns included. The schema is declared, never inferred."""
-        return self.spark.read.schema(TABLES[name].stored_schema).parquet(self.path(name))
+        """A whole table, its partition columns included."""
+        return self._committed(name, [self.path(name)])
 
     def read_days(self, name: str, days: Iterable[int]) -> DataFrame:
         """The given ``sk_date`` partitions; only their folders are listed, not the whole table."""
-        folders = f"{self.path(name)}/sk_date={{{','.join(str(d) for d in days)}}}"
-        if not self._exists(folders):
-            return self.read(name).filter(F.lit(False))
+        folders = self.folders.matching(f"{self.path(name)}/sk_date={{{','.join(str(d) for d in days)}}}")
+        return self._committed(name, folders) if folders else self.read(name).filter(F.lit(False))
+
+    def _load_folders(self, name: str, load_id: str) -> list[str]:
+        folder = f"load_id={self.folders.escaped(load_id)}"
+        days = "sk_date=*/" if "sk_date" in TABLES[name].partitions else ""
+        return self.folders.matching(f"{self.path(name)}/{days}{folder}")
+
+    def read_loads(self, name: str, load_ids: Iterable[str]) -> DataFrame:
+        """The files of the given loads, committed or not; only their folders are listed."""
+        folders = [folder for load_id in load_ids for folder in self._load_folders(name, load_id)]
         reader = self.spark.read.schema(TABLES[name].stored_schema).option("basePath", self.path(name))
-        return reader.parquet(folders)
+        return reader.parquet(*folders) if folders else self.read(name).filter(F.lit(False))
 
-    def _files(self, pattern: str):
-        """A Hadoop path and the file system it lives on."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(pattern)
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def begin_load(self, load_id: str) -> str:
+        """Open a load and return the name that its rows carry.
 
-    def _exists(self, pattern: str) -> bool:
-        path, files = self._files(pattern)
-        return bool(files.globStatus(path))
+        Rows of an attempt that failed are removed: nobody has seen them. If the load is committed already, what a
+        repetition adds is a load of its own, named ``load_id+1`` and so on.
+        """
+        name, repeated = load_id, 0
+        begun = self.loads.open_in(self.loads.state())
+        while name not in begun and self._load_folders("loads", name):
+            repeated += 1
+            name = f"{load_id}+{repeated}"
+        self.loads.begin(name)
+        if name in begun:
+            for table, declared in TABLES.items():
+                if "load_id" in declared.partitions and table != "rejected_views":
+                    for folder in self._load_folders(table, name):
+                        self.folders.delete(folder)
+        return name
+
+    def commit_load(self, load_id: str) -> None:
+        """Show a load to readers, in all tables at once."""
+        self.loads.commit(load_id)
 
     def drop_folder(self, folder: str) -> None:
         """Delete an intermediate table."""
-        path, files = self._files(folder)
-        files.delete(path, True)
+        self.folders.delete(folder)
 
     def table(self, name: str) -> DataFrame:
         """The declared columns of a table, without storage bookkeeping."""
@@ -76,10 +119,21 @@ class StarStore:
         """Add ``rows`` to table ``name`` under ``load_id``; nothing that is stored goes."""
         self._write(name, rows, load_id, "append")
 
+    def add_as_is(self, name: str, rows: DataFrame, load_id: str, layout: Mapping[str, str] | None = None) -> None:
+        """As :meth:`add_rows`, with the partitions of ``rows`` as files and writer options ``layout``."""
+        table = TABLES[name]
+        (
+            rows.withColumn("load_id", F.lit(load_id))
+            .select(*table.stored_schema.names)
+            .write.mode("append")
+            .options(**(layout or {}))
+            .partitionBy(*table.partitions)
+            .parquet(self.path(name))
+        )
+
     def replace_load(self, name: str, rows: DataFrame, load_id: str) -> None:
         """Make ``rows``, which may be none, the content of load ``load_id`` in a table without days."""
-        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(load_id)
-        self.drop_folder(f"{self.path(name)}/load_id={escaped}")
+        self.drop_folder(f"{self.path(name)}/load_id={self.folders.escaped(load_id)}")
         self._write(name, rows, load_id, "append")
 
     def _write(self, name: str, rows: DataFrame, load_id: str, mode: str) -> None:

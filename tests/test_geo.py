@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import number, ranges, rows, views
-from viewmill.functions.network import ipv4_number
+from viewmill.functions.network import ip_key, ipv4_number, key_position
 from viewmill.operators.geo import (
     assert_disjoint,
     geo_lookup,
@@ -119,7 +119,8 @@ def test_hot_block_is_split(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        per_task = found.groupBy(F.spark_partition_id()).count().collect()
+        # With the looked-up country, as counting rows alone would not need the lookup.
+        per_task = found.groupBy("country_code", F.spark_partition_id()).count().collect()
         assert sum(r["count"] for r in per_task) == 1000
         assert len(per_task) > 1
     finally:
@@ -150,3 +151,129 @@ def test_size_is_measured_before_a_broadcast(spark, table):
     assert not fits_broadcast(table, BroadcastLimit(bytes=100))
     assert broadcast_if_small(table, BroadcastLimit(rows=3)) is table
     assert fits_broadcast(table.filter("false"), BroadcastLimit(rows=0))
+
+
+# --- merge in the order of addresses ----------------------------------------------------------
+
+
+def test_keys_of_addresses(spark):
+    import ipaddress
+
+    rng = random.Random(8)
+    good = ["::", "::1", "1::", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "2001:DB8::a", "::1.2.3.4", "1::5.6.7.8"]
+    good += ["::ffff:9.8.7.6", "::ffff:0908:0706", "1:2:3:4:5:6:1.2.3.4", "0.0.0.0", "255.255.255.255"]
+    for _ in range(150):
+        value = rng.getrandbits(128) & rng.choice([2**128 - 1, rng.getrandbits(128), 2**70 - 1, 2**128 - 2**60])
+        good += [str(ipaddress.IPv6Address(value)), ipaddress.IPv6Address(value).exploded]
+    bad = ["", ":", ":::", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8:9", "1::2::3", "12345::", "g::", "1:2:3:4:5:6:7:8::", "::1.2.3", "1.2.3.4::"]
+    bad += ["1:2:3:4:5:6:7:1.2.3.4", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "fe80::1%eth0", " ::1", "::1\n", "1::2:", "\u0661::", None]
+    found = spark.createDataFrame([(g,) for g in good + bad], "ip string").select("ip", ip_key(F.col("ip")).alias("key"))
+    found = found.withColumn("at", key_position(F.col("key"))).collect()
+
+    def want(text):
+        try:
+            address = ipaddress.ip_address(text)
+        except ValueError:
+            return None
+        if "%" in text:
+            return None
+        address = getattr(address, "ipv4_mapped", None) or address
+        return (b"\x04" if address.version == 4 else b"\x06") + address.packed
+
+    for r in found:
+        assert (None if r["key"] is None else bytes(r["key"])) == (want(r["ip"]) if r["ip"] else None), r["ip"]
+    placed = sorted((bytes(r["key"]), r["at"]) for r in found if r["key"] is not None)
+    assert [p for _, p in placed] == sorted(p for _, p in placed)
+    assert sum(r["key"] is not None for r in found) == len(good)
+
+
+def both_families(spark):
+    import ipaddress
+
+    def v6(text):
+        return int(ipaddress.IPv6Address(text))
+
+    rng = random.Random(3)
+    listed, at = [], v6("2001:db8::")
+    for i in range(120):
+        width = 2 ** rng.choice([0, 3, 40, 64, 66, 80])
+        if rng.random() < 0.7:
+            first, last = (str(ipaddress.IPv6Address(n)) for n in (at, at + width - 1))
+            listed.append((first, last, f"S{i}", "n", "r", "c"))
+        at += width
+    for i, (low, high, *_) in enumerate(rng.sample(random_ranges(7), 40)):
+        first, last = (str(ipaddress.IPv4Address(n)) for n in (low, high))
+        listed.append((first, last, f"V{i}", "n", "r", "c"))
+    listed.append(("::ffff:0:0", "::", "backwards", "n", "r", "c"))
+    schema = "first_ip string, last_ip string, country_code string, country_name string, region_name string, city_name string"
+    points = [str(ipaddress.IPv6Address(rng.randrange(v6("2001:db7::"), at + 2**70))) for _ in range(500)]
+    for first, last, *_ in listed[:-1]:
+        ends = [int(ipaddress.ip_address(x)) for x in (first, last)]
+        kind = type(ipaddress.ip_address(first))
+        points += [str(kind(n)) for n in (ends[0], ends[1], max(ends[0] - 1, 0), min(ends[1] + 1, 2**32 - 1 if kind is ipaddress.IPv4Address else 2**128 - 1))]
+    points += [points[0]] * 300 + [listed[0][0]] * 300 + ["x.y", None, "", "zz::1"] * 40
+    return listed, spark.createDataFrame(listed, schema), points
+
+
+@pytest.mark.parametrize("rows_per_range", [10, 130, 10_000])
+def test_both_families_by_merge(spark, rows_per_range):
+    import ipaddress
+
+    listed, table, points = both_families(spark)
+    bounds = [(*map(ipaddress.ip_address, r[:2]), r[2]) for r in listed[:-1]]
+
+    def want(ip):
+        if not ip:
+            return "UNKNOWN"
+        try:
+            address = ipaddress.ip_address(ip)
+        except ValueError:
+            return "UNKNOWN" if ":" in ip else "ERROR"
+        return next((c for a, b, c in bounds if a.version == address.version and a <= address <= b), "UNKNOWN")
+
+    # Half of the rows are there many times over, equal in all columns.
+    probe = spark.createDataFrame([(i if i % 2 else -1, ip) for i, ip in enumerate(points)], "n int, ip string")
+    found = geo_lookup(probe, table, rows_per_split=rows_per_range)
+    assert rows(found, "n", "ip", "country_code") == sorted(((i if i % 2 else -1, ip, want(ip)) for i, ip in enumerate(points)), key=repr)
+
+
+def test_a_hot_address_goes_to_several_tasks(spark):
+    """Also if a third of all rows is one address; and parts do not depend on how rows arrive."""
+    from viewmill.operators.asof import _folded, _layout, _ranged
+
+    cold = F.concat(F.lit("10.1."), F.col("id") % 200, F.lit("."), F.col("id") % 7)
+    ip = F.when(F.col("id") % 3 == 0, F.lit("10.0.0.1")).otherwise(cold)
+    hot = spark.range(3000).select(F.col("id").alias("n"), ip.alias("ip"))
+    found = geo_lookup(hot, ranges(spark, ("10.0.0.0", "10.0.0.9", "A")), broadcast=False, rows_per_split=100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        per_task = found.filter("ip = '10.0.0.1'").groupBy("country_code", F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in per_task) == 1000 and len(per_task) >= 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+    def placed(df):
+        keyed = df.select(ip_key(F.col("ip")).alias("_key"), F.struct("n", "ip").alias("_row"))
+        return keyed.withColumn("_position", key_position(F.col("_key")))
+
+    borders, spread = _layout(placed(hot), 100)
+
+    def dealt(df):
+        parts = F.when(F.col("_range").isin(list(spread)), 7).otherwise(1)
+        found = _folded(_ranged(placed(df), borders), spread, parts, 100)
+        return rows(found, "_row", "_range", "_part", "_copies")
+
+    assert spread and dealt(hot) == dealt(hot.repartition(7, "n").sortWithinPartitions(F.desc("n")))
+
+
+def test_ranges_by_address_must_be_apart(spark):
+    schema = "first_ip string, last_ip string, country_code string, country_name string, region_name string, city_name string"
+
+    def table(*pairs):
+        return spark.createDataFrame([(a, b, "C", "n", "r", "c") for a, b in pairs], schema)
+
+    probe = spark.createDataFrame([("::5",)], "ip string")
+    assert rows(geo_lookup(probe, table(("::1", "::9"), ("::a", "::f"))), "country_code") == [("C",)]
+    for pairs in ([("::1", "::9"), ("::9", "::f")], [("::1", "::f"), ("::3", "::4")], [("::1", "::9"), ("::1", "::2")]):
+        with pytest.raises(ValueError, match="IP ranges"):
+            geo_lookup(probe, table(*pairs))

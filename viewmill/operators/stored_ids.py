@@ -1,5 +1,7 @@
 """Which ids of a batch are stored already, without reading all that is stored.
 
+Strings compare by code point, which is their order in Spark and in the statistics of files.
+
 Ids that grow with time, such as sequence numbers or ids that begin with a time stamp, lie close together in a batch,
 apart from a few that come late. What lies between such clusters is left out when stored ids are read: first whole
 loads by their smallest and greatest id, then row groups by their statistics, as the ids of a load are written in
@@ -52,12 +54,13 @@ class IdSpan:
         inside = [(value <= before) | (value >= after) for before, after in self.gaps]
         return reduce(and_, inside, (value >= self.low) & (value <= self.high))
 
-    def may_overlap(self, low: str, high: str) -> Column:
-        """Whether a stretch of stored ids, given by two columns, can hold one of the batch."""
+    def may_overlap(self, low: str, high: str) -> bool:
+        """Whether stored ids from ``low`` to ``high`` can hold one of the batch."""
         if self.ids:
-            return F.exists(F.array(*[F.lit(i) for i in self.ids]), lambda i: i.between(F.col(low), F.col(high)))
-        apart = [(F.col(low) <= before) | (F.col(high) >= after) for before, after in self.gaps]
-        return reduce(and_, apart, (F.col(high) >= self.low) & (F.col(low) <= self.high))
+            return any(low <= i <= high for i in self.ids)
+        if high < self.low or low > self.high:
+            return False
+        return not any(before < low and high < after for before, after in self.gaps)
 
 
 def _number(value: bytes) -> int:

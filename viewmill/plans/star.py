@@ -163,23 +163,34 @@ def _load_dimension(store: StarStore, valid: DataFrame, name: str, load_id: str)
 
 def _load_fact(store: StarStore, valid: DataFrame, load_id: str, size: Row, inserted_at: datetime | None) -> None:
     few = size.views <= BROADCAST_VIEW_IDS and size.id_bytes <= BROADCAST_ID_BYTES
-    if few:
+    loads = loads_between(store, size.low_id, size.high_id)
+    span = IdSpan(size.low_id, size.high_id)
+    if few and loads:
         span = id_span(valid, "view_id", size.views - size.rejected, size.low_id, size.high_id)
-        stored = stored_matches(store, span)
+    stored = stored_matches(store, span, loads)
+    if few:
         # Few views: reduce the stored ids to those at issue where they are read, without a shuffle.
         stored = stored.join(F.broadcast(valid.select("view_id")), "view_id", "left_semi")
-    else:
-        stored = stored_matches(store, IdSpan(size.low_id, size.high_id))
     new = absent_rows(fact_views(valid), stored, FACT.key)
     now = F.current_timestamp() if inserted_at is None else F.lit(inserted_at)
     store.add_rows(FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
 
 
-def stored_matches(store: StarStore, span: IdSpan) -> DataFrame:
-    """Stored ids that can be in a batch, from the loads and row groups that can hold any of it."""
-    loads = store.table(LOADS.name)
-    named = [r[0] for r in loads.filter(span.may_overlap("low_id", "high_id")).select("load_id").limit(NAMED_LOADS + 1).collect()]
-    ids = store.read(VIEW_IDS.name) if len(named) > NAMED_LOADS else store.read_loads(VIEW_IDS.name, named)
+def loads_between(store: StarStore, low: str, high: str) -> list[Row]:
+    """Committed loads with ids from ``low`` to ``high``, and one too many if there are more than ``NAMED_LOADS``."""
+    loads = store.table(LOADS.name).select("load_id", "low_id", "high_id")
+    return loads.filter((F.col("high_id") >= low) & (F.col("low_id") <= high)).limit(NAMED_LOADS + 1).collect()
+
+
+def stored_matches(store: StarStore, span: IdSpan, loads: list[Row] | None = None) -> DataFrame:
+    """Stored ids that can be in a batch, from the loads and row groups that can hold any of it. ``loads`` are those
+    between the ends of the span, if they are known."""
+    if loads is None:
+        loads = loads_between(store, span.low, span.high)
+    if len(loads) > NAMED_LOADS:
+        ids = store.read(VIEW_IDS.name)
+    else:
+        ids = store.read_loads(VIEW_IDS.name, [r.load_id for r in loads if span.may_overlap(r.low_id, r.high_id)])
     return ids.filter(span.may_hold("view_id")).select("view_id")
 
 

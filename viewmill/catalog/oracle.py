@@ -283,6 +283,7 @@ _BODIES: dict[str, str] = {
             'OK' AS status
         FROM fact""",
     "known_view_ids": "SELECT view_id FROM fact",
+    "merged_star_rows": _STAR_ROWS,
 }
 _BODIES["refreshed_views_by_country"] = _BODIES["daily_views_by_country"]
 

@@ -26,6 +26,7 @@ from viewmill.plans.marts import (
     traffic_breakdown,
     views_by_country,
 )
+from viewmill.plans.upkeep import merge_loads, sweep_replaced
 from viewmill.plans.star import dimension, fact_views, load_star, stored_matches
 from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT, FACT_KEYS, LOCATION_FIELDS, SURROGATE_KEYS, VIEW_REQUIRED
 from viewmill.session import scratch_dir
@@ -388,6 +389,18 @@ def known_view_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_matches(store, id_span(ids, "view_id", n, low, high)).join(ids, "view_id", "left_semi")
 
 
+def merged_star_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that became one, with the files of the old ones deleted."""
+    store = StarStore(spark, scratch_dir(spark, "merged")).init()
+    ranges, views = td.ip_ranges(spark, sf_dir), _views(spark, sf_dir)
+    for load_id, delivered in (("early", views.filter(F.col("local_time") < FIRST_LOAD_UNTIL)), ("later", views)):
+        load_star(store, delivered, load_id, ranges, td.INTERNAL_KEYWORDS)
+    refresh_marts(store)
+    merge_loads(store)
+    sweep_replaced(store)
+    return _star_rows(store)
+
+
 # --- quality ----------------------------------------------------------------------------------
 
 
@@ -539,4 +552,5 @@ QUERIES: dict[str, Query] = {
     "loads_log": loads_log,
     "freshness_of_loads": fresh_loads,
     "known_view_ids": known_view_ids,
+    "merged_star_rows": merged_star_rows,
 }

@@ -139,7 +139,7 @@ def _stage(store: StarStore, judged: DataFrame, staged: bool):
     return kept, kept.unpersist
 
 
-def _together(store: StarStore, jobs: Iterable[Callable[[], object]]) -> list:
+def in_parallel(store: StarStore, jobs: Iterable[Callable[[], object]]) -> list:
     """Results of jobs that do not depend on each other, submitted at the same time."""
     jobs = list(jobs)
     spread = inheritable_thread_target(store.spark)
@@ -149,7 +149,7 @@ def _together(store: StarStore, jobs: Iterable[Callable[[], object]]) -> list:
 
 def _write_star(store: StarStore, valid: DataFrame, load_id: str, size: Row, inserted_at: datetime | None) -> None:
     """Dimensions and facts. No order is needed, as none of them counts before the load is committed."""
-    _together(
+    in_parallel(
         store,
         [partial(_load_fact, store, valid, load_id, size, inserted_at)]
         + [partial(_load_dimension, store, valid, name, load_id) for name in DIMENSIONS],
@@ -222,7 +222,7 @@ def _describe_load(store: StarStore, load_id: str, views: int) -> dict[str, int]
         places = store.read("dim_location").unionByName(store.read_loads("dim_location", [load_id]))
         store.add_as_is(COUNTRY_INCREMENTS.name, country_increments(facts, places, numbers), load_id)
 
-    dimensions, found, *_ = _together(store, [of_dimensions, of_facts, ids, increments])
+    dimensions, found, *_ = in_parallel(store, [of_dimensions, of_facts, ids, increments])
     row = {"load_id": load_id, "views": views, **found.asDict()}
     described = store.spark.createDataFrame([tuple(row[c] for c in LOADS.columns)], LOADS.schema)
     store.add_as_is(LOADS.name, described.coalesce(1), load_id)

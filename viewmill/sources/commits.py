@@ -35,9 +35,24 @@ class Folders:
         target, files = self._at(path)
         files.delete(target, True)
 
-    def touch(self, path: str) -> None:
+    def write(self, path: str, text: str = "") -> None:
         target, files = self._at(path)
-        files.create(target, True).close()
+        out = files.create(target, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+
+    def text(self, path: str) -> str:
+        target, files = self._at(path)
+        source = files.open(target)
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def rename(self, path: str, to: str) -> None:
+        target, files = self._at(path)
+        if not files.rename(target, self._at(to)[0]):
+            raise OSError(f"{path} could not be renamed")
 
     def names(self, folder: str) -> dict[str, int]:
         """The files of a folder with their times, none if it does not exist."""
@@ -47,8 +62,9 @@ class Folders:
         return {str(f.getPath().getName()): f.getModificationTime() for f in files.listStatus(target)}
 
 
-# Written whenever a load ends. No load's marker begins like this, as "=" is escaped there.
-_ENDED = "=ended"
+# No marker of a load begins like these, as "=" is escaped there: what is written whenever a load ends, and what the
+# marker of a load that replaced others is called from then on.
+_ENDED, _REPLACED = "=ended", "=replaced-"
 
 
 class OpenLoads:
@@ -66,13 +82,18 @@ class OpenLoads:
     def _marker(self, load_id: str) -> str:
         return f"{self.path}/{self.folders.escaped(load_id)}"
 
-    def begin(self, load_id: str) -> None:
-        self.folders.touch(self._marker(load_id))
+    def begin(self, load_id: str, replaces: list[str] | None = None) -> None:
+        self.folders.write(self._marker(load_id), "\n".join(self.folders.escaped(r) for r in replaces or []))
 
     def commit(self, load_id: str) -> None:
+        """End a load. Its marker goes; that of one that replaces others turns into the list of those, in one rename."""
         # Tells readers that were listing files meanwhile, even if they saw neither begin nor end.
-        self.folders.touch(f"{self.path}/{_ENDED}")
-        self.folders.delete(self._marker(load_id))
+        self.folders.write(f"{self.path}/{_ENDED}")
+        marker = self._marker(load_id)
+        if self.folders.text(marker):
+            self.folders.rename(marker, f"{self.path}/{_REPLACED}{self.folders.escaped(load_id)}")
+        else:
+            self.folders.delete(marker)
 
     def state(self) -> dict[str, int]:
         """Markers with their times; two equal states mean that no load began or ended between them."""
@@ -80,4 +101,20 @@ class OpenLoads:
 
     def open_in(self, state: dict[str, int]) -> list[str]:
         """The loads that were open in a state."""
-        return sorted(self.folders.unescaped(name) for name in state if not name.startswith((".", _ENDED)))
+        return sorted(self.folders.unescaped(name) for name in state if not name.startswith((".", "=")))
+
+    def hidden_in(self, state: dict[str, int]) -> list[str]:
+        """The loads whose rows did not count in a state: open ones, and those that another has replaced."""
+        replaced = [r for listed in self.replaced(state).values() for r in listed]
+        return sorted({*self.open_in(state), *replaced})
+
+    def replaced(self, state: dict[str, int] | None = None) -> dict[str, list[str]]:
+        """Markers of loads that replaced others, with those others."""
+        markers = [name for name in (self.state() if state is None else state) if name.startswith(_REPLACED)]
+        texts = {marker: self.folders.text(f"{self.path}/{marker}") for marker in markers}
+        return {marker: [self.folders.unescaped(r) for r in text.split("\n")] for marker, text in texts.items()}
+
+    def forget(self, marker: str) -> None:
+        """Remove the marker of a load that replaced others, when nothing of those is left."""
+        self.folders.write(f"{self.path}/{_ENDED}")
+        self.folders.delete(f"{self.path}/{marker}")

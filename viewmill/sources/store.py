@@ -57,7 +57,7 @@ class StarStore:
             before = self.loads.state()
             rows = reader.parquet(*paths)
             if self.loads.state() == before:
-                hidden = self.loads.open_in(before)
+                hidden = self.loads.hidden_in(before)
                 return rows.filter(~F.col("load_id").isin(hidden)) if hidden else rows
 
     def read(self, name: str) -> DataFrame:
@@ -80,8 +80,8 @@ class StarStore:
         reader = self.spark.read.schema(TABLES[name].stored_schema).option("basePath", self.path(name))
         return reader.parquet(*folders) if folders else self.read(name).filter(F.lit(False))
 
-    def begin_load(self, load_id: str) -> str:
-        """Open a load and return the name that its rows carry.
+    def begin_load(self, load_id: str, replaces: list[str] | None = None) -> str:
+        """Open a load and return the name that its rows carry; ``replaces`` are loads that count until it is committed.
 
         Rows of an attempt that failed are removed: nobody has seen them. If the load is committed already, what a
         repetition adds is a load of its own, named ``load_id+1`` and so on.
@@ -91,14 +91,18 @@ class StarStore:
         while name not in begun and self._load_folders("loads", name):
             repeated += 1
             name = f"{load_id}+{repeated}"
-        self.loads.begin(name)
+        self.loads.begin(name, replaces)
         if name in begun:
-            for table, declared in TABLES.items():
-                if "load_id" in declared.partitions and table != "rejected_views":
-                    for folder in self._load_folders(table, name):
-                        self.folders.delete(folder)
+            self.delete_load(name)
         return name
 
+    def delete_load(self, load_id: str) -> None:
+        """Delete all files of a load that no reader counts, but for rejected views."""
+        for table, declared in TABLES.items():
+            if "load_id" in declared.partitions and table != "rejected_views":
+                for folder in self._load_folders(table, load_id):
+                    self.folders.delete(folder)
+
     def commit_load(self, load_id: str) -> None:
         """Show a load to readers, in all tables at once."""
         self.loads.commit(load_id)

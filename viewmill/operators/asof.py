@@ -115,7 +115,8 @@ def last_start_before(
     every = probe.sparkSession.range(len(borders) + 1).select(F.col("id").cast("int").alias("_range"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        every.join(last, "_range", "left")
+        # At most one row per range that is laid out.
+        every.join(F.broadcast(last), "_range", "left")
         .withColumn("_last", F.last("_last", ignorenulls=True).over(before))
         .filter(F.col("_last").isNotNull())
         .select("_last._key", "_last._begun", "_range")

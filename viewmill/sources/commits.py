@@ -31,6 +31,10 @@ class Folders:
         target, files = self._at(path)
         return files.exists(target)
 
+    def make(self, path: str) -> None:
+        target, files = self._at(path)
+        files.mkdirs(target)
+
     def delete(self, path: str) -> None:
         target, files = self._at(path)
         files.delete(target, True)

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +34,8 @@ class StarStore:
     def init(self) -> StarStore:
         """Create every table that does not exist yet; existing ones are left alone."""
 
-        def create(table: Table) -> None:
-            empty = self.spark.createDataFrame([], table.stored_schema)
-            empty.write.mode("ignore").partitionBy(*table.partitions).parquet(self.path(table.name))
-
-        with ThreadPoolExecutor(len(TABLES)) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(create), TABLES.values()))
+        for name in TABLES:
+            self.folders.make(self.path(name))
         return self
 
     def _committed(self, name: str, paths: list[str]) -> DataFrame:

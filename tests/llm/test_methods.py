@@ -49,6 +49,35 @@ def test_article_header_is_content_and_broken_markup_is_survived():
     assert [main_text(x) for x in (None, "", " \n")] == ["", "", ""]
 
 
+TEXT = "<h1>Of rivers</h1><p>The river rose for three days and took the old bridge with it.</p><p>Nobody was hurt, they say.</p>"
+MAIN = "Of rivers The river rose for three days and took the old bridge with it. Nobody was hurt, they say."
+
+
+@pytest.mark.parametrize("inner", [f"<article>{TEXT}</article>", f"<main>{TEXT}</main>"])
+@pytest.mark.parametrize(
+    "wrapper", ['div class="content-sidebar-wrap"', 'div class="layout has-sidebar"', 'div id="page" class="comments-open"',
+                'div class="no-sidebar"', 'form id="aspnetForm"', 'div class="widget-area"']
+)
+def test_article_in_a_wrapper_named_after_something_else(wrapper, inner):
+    from viewmill.llm.html_mincut import main_text
+
+    page = (
+        f"<body><nav><a href=/>Home</a><a href=/x>More of it</a></nav><{wrapper}>{inner}"
+        '<div class="sidebar"><p>Read our other stories here.</p></div>'
+        '<section class="comments"><article class="comment"><p>I was there and saw it, too.</p></article></section>'
+        f"</{wrapper.split()[0]}><footer>All rights reserved.</footer></body>"
+    )
+    assert main_text(page) == MAIN
+
+
+def test_comments_stay_out_however_long():
+    from viewmill.llm.html_mincut import main_text
+
+    comment = "<article><p>I have a great deal to say about this river, and here it all comes, at length.</p></article>"
+    page = f'<body><article>{TEXT}</article><div id="comments">{comment * 30}</div></body>'
+    assert main_text(page) == MAIN
+
+
 def test_pages_as_a_query(spark, as_query, sf_dir):
     import html
     import re
@@ -83,6 +112,29 @@ def test_minimum_cut_by_all_labellings():
         assert cost(minimum_cut(source, sink, edges)) == best
 
 
+# --- language -------------------------------------------------------------------------------
+
+
+def test_language_made_of_copies_is_learned(spark):
+    """Copies do not thin out the sample: few texts, each very often, are all in it."""
+    from viewmill.llm.language_id import fit_languages, predict_languages
+
+    rng = random.Random(8)
+    words = {k: ["".join(rng.choices(a, k=7)) for _ in range(25)] for k, a in (("aa", "abcdefghi"), ("bb", "jklmnopqr"))}
+
+    def text(lang):
+        return " ".join(rng.choices(words[lang], k=30))
+
+    rows = [("aa", text("aa")) for _ in range(300)] + [("bb", t) for t in [text("bb") for _ in range(3)] for _ in range(2000)]
+    labelled = spark.createDataFrame(rows, "lang string, text string")
+    model = fit_languages(labelled, sample_rows=40)
+    assert sorted(model.dictionaries) == ["aa", "bb"]
+    assert 15 <= model.dictionaries["aa"].count(b"\n") + 1 <= 80 and model.dictionaries["bb"].count(b"\n") == 2
+    fresh = spark.createDataFrame([(lang, text(lang)) for lang in words for _ in range(20)], "lang string, text string")
+    got = predict_languages(fresh, model, keep=["lang"])
+    assert got.where("lang <> lang_pred").count() <= 2
+
+
 # --- PII --------------------------------------------------------------------------------------
 
 

@@ -39,10 +39,16 @@ BOILERPLATE_WORDS = frozenset(
     "complementary dialog form hidden tags meta byline".split()
 )
 CONTENT_WORDS = frozenset("article main post entry story".split())
+# Parts of a class that say what a page has or is like ("has-sidebar", "comments-open"), not what the element is.
+STATE_WORDS = frozenset("has no not with without is open opened closed enabled disabled active".split())
+# What is never the frame of a page, however much text it holds.
+NEVER_FRAMES = frozenset("nav footer aside menu dialog button comment comments disqus reply replies respond".split())
 
 #: Weights of the classifier (log-odds of content) and of the edges.
 BIAS, PER_LOG_CHAR, LINKS, SENTENCE, INSIDE, OUTSIDE = -2.2, 0.55, -4.0, 0.8, 3.0, -8.0
-ADJACENT, SAME_PARENT, SAME_CONTENT = 0.4, 1.2, 1.0
+ADJACENT, SAME_PARENT, SAME_CONTENT, ACROSS = 0.4, 1.2, 1.0, 0.1
+#: An element that is marked as boilerplate, but holds more than this share of the page's text, may be its frame.
+FRAME_SHARE = 0.5
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>",
     re.DOTALL,
@@ -51,16 +57,24 @@ _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|style|aria-hidden
 _NAME = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 
 
+@dataclass
+class Mark:
+    """An element that its tag, class, id or role calls boilerplate."""
+
+    frame: bool
+    holds_article: bool = False
+    chars: int = 0
+
+
 @dataclass
 class Element:
-    """An open element; ``bad`` and ``good`` hold for all that is inside."""
+    """An open element; ``marks``, its own and those it is inside of, and ``good`` hold for all that is inside."""
 
     tag: str
-    bad: bool
+    marks: tuple[Mark, ...]
     good: bool
     hidden: bool
     number: int
-    depth: int
 
 
 @dataclass
@@ -68,37 +82,50 @@ class Block:
     """Text between two borders of block elements."""
 
     parent: int
-    path: tuple[int, ...]
-    bad: bool
+    marks: tuple[Mark, ...]
     good: bool
     tag: str
+    bad: bool = False
     parts: list[str] = field(default_factory=list)
     links: int = 0
     text: str = ""
 
 
-def _element(tag: str, attributes: str, above: Element | None, number: int) -> Element:
-    bad, good = (above.bad, above.good) if above else (False, False)
-    hidden = bool(above and above.hidden) or tag in HIDDEN
-    if attributes:
-        for match in _ATTRIBUTE.finditer(attributes):
-            name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
-            if name == "style":
-                hidden |= "display:none" in value.replace(" ", "").lower()
-            elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-                hidden |= name == "hidden"
-            elif tag not in ("html", "body"):
-                words = {w.lower() for w in _NAME.findall(value)}
-                bad |= bool(words & BOILERPLATE_WORDS)
-                good |= bool(words & CONTENT_WORDS)
-    bad |= tag in BOILERPLATE_TAGS or (tag == "header" and not good)
+def _names(value: str) -> set[str]:
+    """Words of a class, id or role, without those of states of the page."""
+    named = [{w.lower() for w in _NAME.findall(token)} for token in value.split()]
+    return set().union(*[words for words in named if len(words) == 1 or not words & STATE_WORDS])
+
+
+def _element(tag: str, attributes: str, above: Element, number: int) -> Element:
+    good, hidden = above.good, above.hidden or tag in HIDDEN
+    reasons = {tag} & BOILERPLATE_TAGS
+    for match in _ATTRIBUTE.finditer(attributes):
+        name, value = match[1].lower(), match[2] or match[3] or match[4] or ""
+        if name == "style":
+            hidden |= "display:none" in value.replace(" ", "").lower()
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
+            hidden |= name == "hidden"
+        elif tag not in ("html", "body"):
+            words = _names(value)
+            reasons |= words & BOILERPLATE_WORDS
+            good |= bool(words & CONTENT_WORDS)
+    if tag == "header" and not good:
+        reasons.add(tag)
     good |= tag in ("article", "main")
-    return Element(tag, bad, good, hidden, number, above.depth + 1 if above else 0)
+    marks = above.marks
+    if tag in ("article", "main") and not reasons:
+        # The article may lie in a page-wide form or in a wrapper that is named after a sidebar beside it.
+        for mark in marks:
+            mark.holds_article = True
+    if reasons:
+        marks = (*marks, Mark(not reasons & NEVER_FRAMES))
+    return Element(tag, marks, good, hidden, number)
 
 
 def page_blocks(page: str) -> list[Block]:
     """The visible text blocks of a page in page order; comments, scripts, styles and other hidden parts are gone."""
-    stack = [Element("", False, False, False, 0, 0)]
+    stack = [Element("", (), False, False, 0)]
     blocks: list[Block] = []
     block: Block | None = None
     at, number, anchors = 0, 0, 0
@@ -114,7 +141,7 @@ def page_blocks(page: str) -> list[Block]:
             # Headings, paragraphs and list items belong to what holds them, so that they are neighbours there.
             place = next((e for e in reversed(stack) if e.tag in HOLDERS), stack[0])
             top = stack[-1]
-            block = Block(place.number, tuple(e.number for e in stack), top.bad, top.good, holder.tag)
+            block = Block(place.number, top.marks, top.good, holder.tag)
             blocks.append(block)
         block.parts.append(part)
         if anchors:
@@ -164,7 +191,14 @@ def page_blocks(page: str) -> list[Block]:
             stack.pop()
     for b in blocks:
         b.text = " ".join(html.unescape("".join(b.parts)).split())
-    return [b for b in blocks if b.text]
+    blocks = [b for b in blocks if b.text]
+    for b in blocks:
+        for mark in b.marks:
+            mark.chars += len(b.text)
+    most = FRAME_SHARE * sum(len(b.text) for b in blocks)
+    for b in blocks:
+        b.bad = any(not (mark.frame and mark.holds_article and mark.chars > most) for mark in b.marks)
+    return blocks
 
 
 def log_odds(block: Block) -> float:
@@ -239,8 +273,11 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
 
     Nodes are runs of blocks that have one parent and look alike (marked as boilerplate or not, mostly links or not).
     A node's terminal capacities are the sums over its blocks of what either label costs by the classifier. Edges join
-    nodes next to each other in the page, more strongly the closer they are in the element tree, and the nodes
-    of one parent that others lie between.
+    nodes next to each other in the page, more strongly the closer they are in the element tree and only weakly if one of them
+    is marked, and the nodes of one parent that others lie between.
+
+    A mark counts for all that is inside the element, unless this frames the page: it holds an article or main element
+    and most of the text, and is not by name a list of comments, a menu or the like.
     """
     nodes: list[list[Block]] = []
     key = None
@@ -262,8 +299,7 @@ def content_blocks(blocks: list[Block]) -> list[Block]:
         if i:
             before = nodes[i - 1][-1]
             weight = ADJACENT + SAME_CONTENT * (block.good and before.good) + SAME_PARENT * (block.parent == before.parent)
-            if block.bad == before.bad:
-                edges.append((i - 1, i, int(1000 * weight)))
+            edges.append((i - 1, i, int(1000 * (weight if block.bad == before.bad else ACROSS))))
         other = last.get((block.parent, block.bad))
         if other is not None and other != i - 1:
             edges.append((other, i, int(1000 * SAME_PARENT)))

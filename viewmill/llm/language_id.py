@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from viewmill.llm.common import column
 
-#: Bounds of the sample that dictionaries are made of: rows looked for in each language, characters used of each row,
+#: Bounds of the sample that dictionaries are made of: texts looked for in each language, characters used of each,
 #: bytes of one dictionary. Counts, and all predictions, are over whole tables and whole texts.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1200, 100, 110_000
 #: Texts are compressed in blocks, so that the dictionary and not the text's own past decides.
@@ -48,17 +48,19 @@ def fit_languages(
 ) -> LanguageModel:
     """Dictionaries from ``text`` and ``lang`` of labelled rows (others are left out).
 
-    Rows are counted per language over the whole table, and each language is sampled by a hash of the text at the
-    rate that gives about ``sample_rows`` rows. Short pieces of many rows are used: a long one would favour its own
+    Different texts are counted per language over the whole table (by a sketch, to a few percent), and each language is
+    sampled by a hash of the text at the rate that gives about ``sample_rows`` of them, however often each is repeated: a
+    language of few texts gives all of them. Short pieces of many rows are used: a long one would favour its own
     copies. Wrong labels are weeded out: each half of the pieces is classified by dictionaries of the other half, and
     only pieces that agree with their label stay. No labelled rows give a model without languages.
     """
     labelled = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     labelled = labelled.where(_has_letter(F.col("text")))
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = F.approx_count_distinct(F.xxhash64("text"), 0.02)
+    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(texts.alias("n")).collect()}
     if not counts:
         return LanguageModel({})
-    rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_rows / n))])
+    rates = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_rows / max(n, 1)))])
     chance = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     sample = (
         labelled.where(chance < F.get(F.array(rates[F.col("lang")]), F.lit(0)))

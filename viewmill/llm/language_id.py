@@ -19,6 +19,8 @@ SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 1200, 100, 110_000
 BLOCK_BYTES, LEVEL = 4096, 6
 #: A prediction is rejected if the second language needs less than this share more bytes.
 MIN_MARGIN = 0.001
+#: A language with fewer pieces keeps them all: half of them are too few to judge the others by.
+FEW_PIECES = 20
 UNKNOWN = "und"
 
 
@@ -78,7 +80,8 @@ def fit_languages(
         for lang, some in half.items():
             kept[lang] = kept.get(lang, []) + [p for p in some if not judge or _ranked(p, judge, BLOCK_BYTES)[0][1] == lang]
     # A language whose pieces all look like another one's keeps them: it is still a language to learn.
-    return LanguageModel(_dictionaries({lang: p or pieces[lang] for lang, p in kept.items()}, dictionary_bytes))
+    weeded = {lang: p if p and len(pieces[lang]) >= FEW_PIECES else pieces[lang] for lang, p in kept.items()}
+    return LanguageModel(_dictionaries(weeded, dictionary_bytes))
 
 
 def _dictionaries(pieces: dict[str, list[str]], size: int) -> dict[str, bytes]:

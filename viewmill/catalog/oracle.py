@@ -169,6 +169,14 @@ _VIEW = ", ".join("view_id" if c == "id" else c for c in EVENT_FIELDS)
 _PLACE = ", ".join(LOCATION_FIELDS)
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_linestatus"]
 
+_LINES_INSERTED = f"""
+    WITH open AS ({_first_per_key("(SELECT * FROM lineitem WHERE l_linestatus = 'O')", _LINE, _LINE[:2])}),
+        lines AS ({_first_per_key("lineitem", _LINE, _LINE[:2])})
+    SELECT {', '.join(_LINE)}, 1 AS load FROM open
+    UNION ALL SELECT {', '.join(_LINE)}, 2 AS load FROM lines
+    WHERE NOT EXISTS (SELECT 1 FROM open WHERE open.l_orderkey = lines.l_orderkey
+        AND open.l_linenumber = lines.l_linenumber)"""
+
 _BODIES: dict[str, str] = {
     "filter_product_views": f"""
         SELECT id AS view_id, {_EVENT.removeprefix('id, ')} FROM raw_views
@@ -220,13 +228,8 @@ _BODIES: dict[str, str] = {
         for name, table in DIMENSIONS.items()
     },
     "fact_insert_if_absent": _inserted("fact", "view_id", FACT_KEYS),
-    "lineitem_insert_if_absent": f"""
-        WITH open AS ({_first_per_key("(SELECT * FROM lineitem WHERE l_linestatus = 'O')", _LINE, _LINE[:2])}),
-            lines AS ({_first_per_key("lineitem", _LINE, _LINE[:2])})
-        SELECT {', '.join(_LINE)}, 1 AS load FROM open
-        UNION ALL SELECT {', '.join(_LINE)}, 2 AS load FROM lines
-        WHERE NOT EXISTS (SELECT 1 FROM open WHERE open.l_orderkey = lines.l_orderkey
-            AND open.l_linenumber = lines.l_linenumber)""",
+    "lineitem_insert_if_absent": _LINES_INSERTED,
+    "lineitem_insert_bucketed": _LINES_INSERTED,
     "mart_upsert": "SELECT * FROM breakdown",
     "backfill_inserted_at": "SELECT *, '2024-02-01 00:00:00.000000' AS inserted_at FROM fact",
     "duplicate_keys": """

@@ -32,6 +32,8 @@ from viewmill.schemas import DIMENSIONS, EVENT_FIELDS, FACT, FACT_KEYS, LOCATION
 from viewmill.session import scratch_dir
 from viewmill.sources import events as ev
 from viewmill.sources import testdata as td
+from viewmill.sources.buckets import read_buckets, write_buckets
+from viewmill.sources.commits import Folders
 from viewmill.sources.store import StarStore
 from viewmill.streaming.load import start_star_stream
 
@@ -264,6 +266,18 @@ def lineitem_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_if_absent(stored, lines.withColumn("load", F.lit(2)), keys)
 
 
+def lineitem_insert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``lineitem_insert_if_absent``, with what is stored in buckets of the key, which are joined where they lie."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = td.table(spark, sf_dir, "lineitem").select(*keys, "l_partkey", "l_suppkey", "l_linestatus")
+    first = first_per_key(lines.filter(F.col("l_linestatus") == "O"), keys).withColumn("load", F.lit(1))
+    folder = f"{scratch_dir(spark, 'lines')}/stored"
+    folders = Folders(spark, folder)
+    write_buckets(folders, first, folder, keys, 32)
+    stored = read_buckets(spark, folders, folder, keys, first.schema)
+    return insert_if_absent(stored, lines.withColumn("load", F.lit(2)), keys)
+
+
 def backfill_inserted_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = fact_views(_enriched(spark, sf_dir))
     return portable(add_column_if_missing(old, "inserted_at", BACKFILLED_AT, "timestamp"))
@@ -528,6 +542,7 @@ QUERIES: dict[str, Query] = {
     **{f"{name}_insert_if_absent": _dimension_insert(name) for name in DIMENSIONS},
     "fact_insert_if_absent": fact_insert_if_absent,
     "lineitem_insert_if_absent": lineitem_insert_if_absent,
+    "lineitem_insert_bucketed": lineitem_insert_bucketed,
     "mart_upsert": mart_upsert,
     "backfill_inserted_at": backfill_inserted_at,
     "duplicate_keys": duplicate_lines,

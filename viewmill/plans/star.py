@@ -157,7 +157,9 @@ def _write_star(store: StarStore, valid: DataFrame, load_id: str, size: Row, ins
 
 
 def _load_dimension(store: StarStore, valid: DataFrame, name: str, load_id: str) -> None:
-    new = absent_rows(dimension(valid, name), store.read(name), DIMENSIONS[name].key)
+    new = dimension(valid, name)
+    for part in store.read_parts(name):
+        new = absent_rows(new, part, DIMENSIONS[name].key)
     store.add_rows(name, new, load_id)
 
 
@@ -167,11 +169,14 @@ def _load_fact(store: StarStore, valid: DataFrame, load_id: str, size: Row, inse
     span = IdSpan(size.low_id, size.high_id)
     if few and loads:
         span = id_span(valid, "view_id", size.views - size.rejected, size.low_id, size.high_id)
-    stored = stored_matches(store, span, loads)
+    new = fact_views(valid)
     if few:
         # Few views: reduce the stored ids to those at issue where they are read, without a shuffle.
-        stored = stored.join(F.broadcast(valid.select("view_id")), "view_id", "left_semi")
-    new = absent_rows(fact_views(valid), stored, FACT.key)
+        stored = stored_matches(store, span, loads).join(F.broadcast(valid.select("view_id")), "view_id", "left_semi")
+        new = absent_rows(new, stored, FACT.key)
+    else:
+        for part in store.read_parts(VIEW_IDS.name, loads_to_read(span, loads)):
+            new = absent_rows(new, part.filter(span.may_hold("view_id")), FACT.key)
     now = F.current_timestamp() if inserted_at is None else F.lit(inserted_at)
     store.add_rows(FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
 
@@ -182,28 +187,33 @@ def loads_between(store: StarStore, low: str, high: str) -> list[Row]:
     return loads.filter((F.col("high_id") >= low) & (F.col("low_id") <= high)).limit(NAMED_LOADS + 1).collect()
 
 
+def loads_to_read(span: IdSpan, loads: list[Row]) -> list[str] | None:
+    """Which of ``loads`` can hold ids of a span; ``None`` if they are too many to be named."""
+    return [r.load_id for r in loads if span.may_overlap(r.low_id, r.high_id)] if len(loads) <= NAMED_LOADS else None
+
+
 def stored_matches(store: StarStore, span: IdSpan, loads: list[Row] | None = None) -> DataFrame:
     """Stored ids that can be in a batch, from the loads and row groups that can hold any of it. ``loads`` are those
     between the ends of the span, if they are known."""
     if loads is None:
         loads = loads_between(store, span.low, span.high)
-    if len(loads) > NAMED_LOADS:
-        ids = store.read(VIEW_IDS.name)
-    else:
-        ids = store.read_loads(VIEW_IDS.name, [r.load_id for r in loads if span.may_overlap(r.low_id, r.high_id)])
+    named = loads_to_read(span, loads)
+    ids = store.read(VIEW_IDS.name) if named is None else store.read_loads(VIEW_IDS.name, named)
     return ids.filter(span.may_hold("view_id")).select("view_id")
 
 
+def rows_of_loads(store: StarStore, names: Iterable[str], load_ids: list[str]) -> dict[str, int]:
+    """Rows per table in the files of some loads; no column is read."""
+    parts = [store.read_loads(n, load_ids).select(F.lit(n).alias("name")) for n in names]
+    counted = reduce(DataFrame.unionAll, parts).groupBy("name").count().collect()
+    return dict.fromkeys(names, 0) | {r["name"]: r["count"] for r in counted}
+
+
 def _describe_load(store: StarStore, load_id: str, views: int) -> dict[str, int]:
     """What later loads, roll-ups and checks need to know of a load, from the files it has written; returns its rows per
     table. Files are read back because a counter inside the plan counts the rows of a repeated task twice."""
     facts = store.read_loads(FACT.name, [load_id])
 
-    def of_dimensions() -> dict[str, int]:
-        parts = [store.read_loads(n, [load_id]).select(F.lit(n).alias("name")) for n in DIMENSIONS]
-        counted = reduce(DataFrame.unionAll, parts).groupBy("name").count().collect()
-        return dict.fromkeys(DIMENSIONS, 0) | {r["name"]: r["count"] for r in counted}
-
     def of_facts() -> Row:
         return facts.agg(
             F.count(F.lit(1)).alias("facts"),
@@ -222,7 +232,7 @@ def _describe_load(store: StarStore, load_id: str, views: int) -> dict[str, int]
         places = store.read("dim_location").unionByName(store.read_loads("dim_location", [load_id]))
         store.add_as_is(COUNTRY_INCREMENTS.name, country_increments(facts, places, numbers), load_id)
 
-    dimensions, found, *_ = in_parallel(store, [of_dimensions, of_facts, ids, increments])
+    dimensions, found, *_ = in_parallel(store, [partial(rows_of_loads, store, DIMENSIONS, [load_id]), of_facts, ids, increments])
     row = {"load_id": load_id, "views": views, **found.asDict()}
     described = store.spark.createDataFrame([tuple(row[c] for c in LOADS.columns)], LOADS.schema)
     store.add_as_is(LOADS.name, described.coalesce(1), load_id)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewmill.schemas import TABLES, Table
+from viewmill.sources.buckets import bucketed_folders, forget_buckets, read_buckets, write_buckets
 from viewmill.sources.commits import Folders, OpenLoads
 
 
@@ -74,6 +75,25 @@ class StarStore:
         reader = self.spark.read.schema(TABLES[name].stored_schema).option("basePath", self.path(name))
         return reader.parquet(*folders) if folders else self.read(name).filter(F.lit(False))
 
+    def read_parts(self, name: str, load_ids: Iterable[str] | None = None) -> list[DataFrame]:
+        """The committed rows of a table, or of some of its loads, in parts: each load that lies in buckets by itself, so
+        that a join on the key leaves it where it is, and all others together."""
+        table = TABLES[name]
+        while True:
+            before = self.loads.state()
+            hidden = set(self.loads.hidden_in(before))
+            folders = bucketed_folders(self.folders, f"{self.path(name)}/load_id=*")
+            dealt = {self.folders.unescaped(folder.rsplit("load_id=", 1)[1]): folder for folder in folders}
+            chosen = {i: f for i, f in dealt.items() if i not in hidden and (load_ids is None or i in set(load_ids))}
+            parts = [read_buckets(self.spark, self.folders, f, table.key, table.schema) for f in chosen.values()]
+            if load_ids is None:
+                rest = self.read(name)
+                rest = rest.filter(~F.col("load_id").isin(list(dealt))) if dealt else rest
+            else:
+                rest = self.read_loads(name, [i for i in load_ids if i not in dealt and i not in hidden])
+            if self.loads.state() == before:
+                return [*parts, rest.select(*table.columns)]
+
     def begin_load(self, load_id: str, replaces: list[str] | None = None) -> str:
         """Open a load and return the name that its rows carry; ``replaces`` are loads that count until it is committed.
 
@@ -95,6 +115,7 @@ class StarStore:
         for table, declared in TABLES.items():
             if "load_id" in declared.partitions and table != "rejected_views":
                 for folder in self._load_folders(table, load_id):
+                    forget_buckets(self.spark, self.folders, folder)
                     self.folders.delete(folder)
 
     def commit_load(self, load_id: str) -> None:
@@ -129,6 +150,14 @@ class StarStore:
             .parquet(self.path(name))
         )
 
+    def add_buckets(
+        self, name: str, rows: DataFrame, load_id: str, count: int, layout: Mapping[str, str] | None = None
+    ) -> None:
+        """As :meth:`add_rows` for a table without days, in ``count`` buckets of the table's key."""
+        table = TABLES[name]
+        folder = f"{self.path(name)}/load_id={self.folders.escaped(load_id)}"
+        write_buckets(self.folders, rows.select(*table.columns), folder, table.key, count, layout)
+
     def replace_load(self, name: str, rows: DataFrame, load_id: str) -> None:
         """Make ``rows``, which may be none, the content of load ``load_id`` in a table without days."""
         self.drop_folder(f"{self.path(name)}/load_id={self.folders.escaped(load_id)}")

@@ -148,6 +148,46 @@ def test_contexts_of_known_identifiers_find_unknown_ones(spark):
     assert found[13] == [] and all(found[i] == [] for i in range(12))
 
 
+def test_found_identifiers_make_further_patterns_trusted(spark):
+    """Seeds stand after one word, found tokens after that and another word, and what is found last after the other word only."""
+    from viewmill.llm.pii_bootstrap import find_personal_data
+
+    texts = [f"contact: person{i}@mail{i}.example.org" for i in range(400)]
+    texts += [f"contact: U-{100 + i} and then badge: U-{100 + i} here" for i in range(30)]
+    texts += ["their badge: ZZ-9000, of course", "room Q-7700 is empty"]
+    found = {r["id"]: [s["match"] for s in r["found"]] for r in find_personal_data(docs(spark, texts)).collect()}
+    assert all(found[400 + i] == [f"u-{100 + i}"] * 2 for i in range(30))
+    assert found[430] == ["zz-9000"] and found[431] == []
+
+
+def test_contexts_are_the_words_before_whatever_they_hold(spark):
+    """Words with digits, long tokens, and an identifier straight after another one."""
+    from viewmill.llm.pii_bootstrap import find_personal_data
+
+    long = "ID" + "x7" * 400
+    texts = [f"see ref2: person{i}@mail{i}.example.org" for i in range(12)]
+    texts += ["see ref2: ID77-9", f"see ref2: ({long})", "see other ID77-8"]
+    found = {r["id"]: [s["match"] for s in r["found"]] for r in find_personal_data(docs(spark, texts)).collect()}
+    assert found[12] == ["id77-9"] and found[13] == [long.lower()] and found[14] == []
+
+
+def test_very_many_identifiers_in_one_text(spark):
+    """Time grows with the text, not with the square of its identifiers."""
+    import time
+
+    from viewmill.llm.pii_bootstrap import find_personal_data
+
+    def seconds(n):
+        texts = [" ".join(f"mail p{i}@q{i}.org," for i in range(n)), ",".join(f"p{i}@q{i}.org" for i in range(n)), "9." * n + "x" * n]
+        start = time.time()
+        sizes = {r["id"]: len(r["email"]) for r in find_personal_data(docs(spark, texts)).collect()}
+        assert sizes == {0: n, 1: n, 2: 0}
+        return time.time() - start
+
+    seconds(100)
+    assert seconds(40_000) < 40
+
+
 def test_totals_of_long_arrays(spark):
     from viewmill.llm.common import running_totals
 

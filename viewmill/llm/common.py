@@ -97,45 +97,54 @@ def two_hashes(value: Column) -> list[Column]:
     return [F.xxhash64(value), F.xxhash64(F.lit("second"), value)]
 
 
-def running_totals(numbers: Column, block: int = 256) -> Column:
-    """The sum of all earlier numbers, for each element of an array; in blocks, as appending copies what is there."""
+def running(values: Column, combine: Callable[[Column, Column], Column], block: int = 256) -> Column:
+    """0 combined with all earlier values, for each element of an array of long; ``combine`` is associative.
+
+    In blocks, as appending copies what is there.
+    """
+    zero = F.lit(0).cast("long")
 
-    def totals(a: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("out"))
+    def all_of(a: Column) -> Column:
+        start = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
         return F.aggregate(
             a,
             start,
-            lambda acc, x: F.struct((acc["sum"] + x).alias("sum"), F.array_append(acc["out"], acc["sum"]).alias("out")),
+            lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.array_append(acc["out"], acc["at"]).alias("out")),
             lambda acc: acc["out"],
         )
 
-    def total(a: Column) -> Column:
-        return F.aggregate(a, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    def last_of(a: Column) -> Column:
+        return F.aggregate(a, zero, combine)
 
     def blocks(a: Column) -> Column:
         at = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(a) / block).cast("int") - 1, F.lit(0)))
         return F.transform(at, lambda i: F.slice(a, i * block + 1, block))
 
     return let(
-        numbers,
+        values,
         lambda a: let(
             blocks(a),
             lambda cut: F.flatten(
                 F.zip_with(
-                    F.transform(cut, totals),
-                    totals(F.transform(cut, total)),
-                    lambda inner, before: F.transform(inner, lambda x: x + before),
+                    F.transform(cut, all_of),
+                    all_of(F.transform(cut, last_of)),
+                    lambda inner, before: F.transform(inner, lambda x: combine(before, x)),
                 )
             ),
         ),
     )
 
 
-def match_spans(text: Column, pattern: str) -> Column:
-    """All matches of a pattern as (``start``, ``end``, ``match``, ``before``, ``after``), places in code points.
+def running_totals(numbers: Column, block: int = 256) -> Column:
+    """The sum of all earlier numbers, for each element of an array."""
+    return running(numbers, lambda a, b: a + b, block)
+
+
+def match_spans(text: Column, pattern: str, before: Callable[[Column, Column, Column], Column]) -> Column:
+    """All matches of a pattern as (``start``, ``end``, ``match``, ``before``), places in code points.
 
-    ``before`` and ``after`` are the at most 80 characters between the match and its neighbours or the ends. Places
-    are running totals of the lengths of matches and of the pieces that splitting leaves between them.
+    Places are running totals of the lengths of matches and of the pieces that splitting leaves between them.
+    ``before`` is what that function makes of pieces, matches and the number of the match.
     """
 
     def spans(pieces: Column, matches: Column) -> Column:
@@ -150,8 +159,7 @@ def match_spans(text: Column, pattern: str) -> Column:
                         (totals[i] + g[i]).alias("start"),
                         (totals[i] + g[i] + F.length(m)).alias("end"),
                         m.alias("match"),
-                        F.substring(pieces[i], -80, 80).alias("before"),
-                        F.substring(pieces[i + 1], 1, 80).alias("after"),
+                        before(pieces, matches, i).alias("before"),
                     ),
                 ),
             ),

@@ -362,6 +362,36 @@ def test_better_documents_are_taken_first(spark):
     assert taken[0] + taken[1] == 60_000 and taken[1] - 20_000 > 1.3 * (taken[0] - 20_000)
 
 
+def test_any_grade_is_dealt_out_evenly(spark):
+    """A source of tables and numbers, of the lowest grade throughout, is dealt to as many tasks as any other; results agree."""
+    from viewmill.llm import mixing
+
+    rows = [(i, f"{i % 7} #### {i} 12.5 | 77 |" if i % 3 else "plain words of a text", "n" if i % 3 else "t") for i in range(30_000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mix_sources(table).collect()
+    stats = table.select(
+        "source", F.col("doc_id").alias("id"), (F.rand(1) / mixing.quality_weight(F.col("text"))).alias("key")
+    )
+    ranged = mixing._in_ranges(mixing.staged(stats, "stats"), "ranged", [F.col("source"), F.col("key")])
+    sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 2 * 30_000 / len(sizes)
+    taken = {}
+    for r in mixed:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    targets = {r["source"]: round(r["target"]) for r in mixed}
+    assert taken == targets and {r["id"] for r in mixed} == set(range(30_000))
+
+
+def test_very_many_sources_get_weights_in_turn(spark):
+    from viewmill.llm.mixing import source_targets
+
+    names = [f"host{i:05d}" for i in range(5000)] + [None]
+    sizes = spark.createDataFrame([(n, 100) for n in names], "source string, source_size long")
+    got = {r["source"]: r["target"] for r in source_targets(sizes, share=0.5).collect()}
+    level = 0.5 * 100 * len(names) / sum((3, 1, 2)[i % 3] for i in range(len(names)))
+    assert all(abs(got[n] - (3, 1, 2)[i % 3] * level) < 1e-6 for i, n in enumerate(names))
+
+
 # --- pipeline ---------------------------------------------------------------------------------
 
 
@@ -396,7 +426,15 @@ def test_stages_against_brute_force(spark, request, sf_dir, table):
             bad = [w[-1] for w in brute.contamination(before, benchmark)]
             assert brute.ordered(after) == brute.ordered(b for b, x in zip(before, bad, strict=True) if not x)
         else:
-            assert all(0 < r["mix"]["taken"] <= 2 * r["mix"]["size"] for r in docs_.collect())
+            # Columns of the input stay, also one called like the struct.
+            assert docs_.columns == [*columns, "mix_2" if "mix" in columns else "mix"]
+            rows = docs_.collect()
+            assert all(0 < r[-1]["taken"] <= 2 * r[-1]["size"] for r in rows)
+            mixed = brute.ordered((r["doc_id"], r["text"]) for r in rows)
+            full = [b for b in before if brute.words(b[1])]
+            assert set(mixed) <= set(full) and (not full or mixed)
+            if "mix" in columns:
+                assert all(r["mix"].startswith("mix-") for r in rows)
 
 
 def test_statements_in_sql(spark, sf_dir):

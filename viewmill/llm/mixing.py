@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain, count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from pyspark.sql import functions as F
 from viewmill.llm.common import join_documents, staged, with_key
 
 WEIGHTS, SHARE, MOST_EPOCHS = (3, 1, 2), 1.5, 2
-#: Documents that one sorted run of keys has on average.
-RUN_ROWS = 1000
+#: Documents that one sorted range of keys has on average, if that makes more ranges than shuffles have partitions.
+RANGE_ROWS = 100_000
 
 
 def quality_weight(text: Column) -> Column:
@@ -19,6 +21,16 @@ def quality_weight(text: Column) -> Column:
     return F.lit(1) + F.floor(F.lit(4) * plain / F.greatest(F.length(text), F.lit(1)))
 
 
+def _in_ranges(rows: DataFrame, name: str, order: list[Column]) -> DataFrame:
+    """``rows`` dealt out by ranges of an order and written, with the number of their ``range``.
+
+    A task that is repeated later finds the same ranges. ``rows`` is read for its count, for the bounds and for the rows.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(partitions, rows.count() // RANGE_ROWS)
+    return staged(rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), name)
+
+
 def source_targets(
     sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most_epochs: int = MOST_EPOCHS
 ) -> DataFrame:
@@ -26,11 +38,20 @@ def source_targets(
 
     Sources by code point, null last, get ``weights`` in turn. Targets share ``share`` times all words by weight, stop
     at ``most_epochs`` times the source, and the excess goes to the others by weight until none is above. Each round
-    is one aggregate over the rows of ``sizes``; only its sums reach the driver.
+    is one aggregate over the rows of ``sizes``; only its sums reach the driver. Sources are numbered in ranges, so
+    there may be very many (hosts, say).
     """
-    order = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.get(F.array(*[F.lit(w) for w in weights]), (order % len(weights)).cast("int"))
-    table = staged(sizes.select("source", "source_size", weight.alias("weight")), "sources")
+    by_name = F.col("source").asc_nulls_last()
+    ranged = _in_ranges(sizes.select("source", "source_size"), "sources", [by_name])
+    counts = ranged.groupBy("range").agg(F.count("*").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    # One row per range.
+    offsets = counts.select(F.col("range").alias("of"), earlier.alias("earlier"))
+    inside = F.row_number().over(W.partitionBy("range").orderBy(by_name)) - 1
+    placed = ranged.withColumn("inside", inside).join(offsets, F.col("range") == F.col("of"))
+    place = (F.col("earlier") + F.col("inside")) % len(weights)
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), place.cast("int"))
+    table = staged(placed.select("source", "source_size", weight.alias("weight")), "weights")
     most = F.col("source_size") * most_epochs
     total = share * (table.agg(F.sum("source_size")).first()[0] or 0)
     level, bound = 0.0, F.lit(False)
@@ -66,12 +87,13 @@ def mix_sources(
 
     All documents of a source are taken for as many complete epochs as its target holds. The rest of the target is
     filled by documents in the order of their keys -ln(u) / quality weight, u from a hash of the id; the document at
-    the end of the budget is taken in part. Prefix sums are taken within short runs of neighbouring keys and
-    the runs are added up per source, so a source with a third of all rows is sorted and summed by many tasks.
-    Nothing is random: reruns agree.
+    the end of the budget is taken in part. Rows are dealt out by ranges of (source, key) whatever the keys'
+    distribution is, summed within a range, and ranges are added up per source, so a source with a third of all rows is
+    sorted and summed by many tasks. Nothing is random: reruns agree.
 
-    Null texts have size 0 and take nothing; a null source is a source, the last one. Equal keys are ordered by id
-    and text. Repeated rows are taken one after the other. An empty table gives an empty table.
+    Null texts have size 0 and take nothing; very long texts count whole. A null source is a source, the last one. Equal
+    keys are ordered by id and text. Repeated rows are taken one after the other. Other columns are not read and may
+    have any name. An empty table gives an empty table.
     """
     keyed = with_key(docs, id_column, text_column)
     digits = F.substring(F.md5(F.concat_ws("\x1f", F.lit(seed), F.col("id").cast("string"))), 1, 12)
@@ -84,30 +106,21 @@ def mix_sources(
             F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
             (-F.log(chance) / quality_weight(F.col("text"))).alias("key"),
         ),
-        "mix",
+        "sizes",
     )
     sizes = stats.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = staged(source_targets(sizes, weights, share, most_epochs), "targets")
-    runs = max(256, stats.count() // RUN_ROWS)
-    # Most documents weigh about 4, which this turns into even runs; others only make them less even.
-    run = F.least(F.floor((1 - F.exp(-4 * F.col("key"))) * runs), F.lit(runs - 1))
-    stats = stats.withColumn("run", run)
-    sums = stats.groupBy("source", "run").agg(F.sum("size").alias("run_size"))
-    sums = sums.withColumn(
-        "earlier",
-        F.coalesce(
-            F.sum("run_size").over(
-                W.partitionBy("source").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
-            ),
-            F.lit(0),
-        ),
-    )
+    order = [F.col(c) for c in ("key", "id", "mark")]
+    stats = _in_ranges(stats, "mix", [F.col("source"), *order])
+    sums = stats.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    ranges_before = W.partitionBy("source").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    sums = sums.withColumn("earlier", F.coalesce(F.sum("range_size").over(ranges_before), F.lit(0)))
     plan = sums.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
-        F.col("source").alias("of"), F.col("run").alias("in_run"), "earlier", "source_size", "target"
+        F.col("source").alias("of"), F.col("range").alias("in_range"), "earlier", "source_size", "target"
     )
-    joined = stats.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("run") == F.col("in_run")))
+    joined = stats.join(plan, F.col("source").eqNullSafe(F.col("of")) & (F.col("range") == F.col("in_range")))
     before = F.sum("size").over(
-        W.partitionBy("source", "run").orderBy("key", "id", "mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+        W.partitionBy("source", "range").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     )
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     budget = F.round("target").cast("long") - F.col("epochs") * F.col("source_size")
@@ -132,9 +145,12 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` that the mix takes, and a struct ``mix`` of size, source_size, target and taken.
+    """``docs`` that the mix takes, and last a struct of size, source_size, target and taken.
 
-    Rows that agree in id and text share equally, rounded down, what they take together.
+    The struct is called ``mix``, or ``mix_2``, ``mix_3`` and so on if ``docs`` has a column of that name in any case; all
+    columns of ``docs`` are kept. Rows that agree in id and text share equally, rounded down, what they take together; if
+    that is less than one word each, they are not taken. Null and empty texts are not taken. An empty table gives an
+    empty table.
     """
     mix = mix_sources(docs, **options).groupBy("id", "mark").agg(
         F.max("size").alias("size"),
@@ -145,7 +161,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     mix = mix.where("taken > 0")
     keyed = with_key(docs, options.get("id_column", "doc_id"), options.get("text_column", "text"))
     joined = join_documents(keyed, mix, "inner")
-    joined = joined.select("row", F.struct("size", "source_size", "target", "taken").alias("mix"))
+    used = {c.lower() for c in docs.columns}
+    name = next(n for n in chain(["mix"], (f"mix_{i}" for i in count(2))) if n not in used)
     return joined.select(
-        *[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "mix"], F.col("mix")
+        *[F.col("row").getField(c).alias(c) for c in docs.columns],
+        F.struct("size", "source_size", "target", "taken").alias(name),
     )

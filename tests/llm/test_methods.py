@@ -199,10 +199,14 @@ def test_totals_of_long_arrays(spark):
 # --- near duplicates --------------------------------------------------------------------------
 
 
-def test_large_group_of_near_copies(spark):
-    """A hot group, far beyond a region: the components are those of all pairs."""
+@pytest.mark.parametrize("sift", [4_000_000, 0])
+def test_large_group_of_near_copies(spark, monkeypatch, sift):
+    """A hot group, far beyond a region: the components are those of all pairs, whether wanted texts are sifted or shuffled."""
+    from viewmill.llm import common
     from viewmill.llm.lsh_forest import near_duplicate_groups
 
+    monkeypatch.setattr(common, "SIFT_ROWS", sift)
+
     rng = random.Random(1)
     base = [f"w{rng.randrange(500)}" for _ in range(160)]
     texts = [" ".join(base)] * 40

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 #: Folders of local sessions that name none, by application.
 _LOCAL: dict[str, str] = {}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Numbers that are broadcast, of 8 bytes each.
+SIFT_ROWS = 4_000_000
 BLANKS = " \t\n\x0b\f\r"
 
 
@@ -64,6 +66,23 @@ def join_documents(a: DataFrame, b: DataFrame, how: str = "left") -> DataFrame:
     return a.join(other, on, how).drop("_id", "_mark")
 
 
+def documents_of(keyed: DataFrame, rows: DataFrame) -> DataFrame:
+    """``id``, ``mark`` and ``text`` of the documents that ``rows`` name by ``id`` and ``mark``, once each.
+
+    Up to :data:`SIFT_ROWS` of them are broadcast as one number each, so that no other text is shuffled; beyond that
+    all texts are, once. Two documents with one number only let a text through that no join finds.
+    """
+    texts = keyed.select("id", "mark", "text")
+    number = F.xxhash64("id", "mark")
+    wanted = staged(rows.select("id", "mark").distinct(), "wanted")
+    if wanted.count() <= SIFT_ROWS:
+        numbers = F.broadcast(wanted.select(number.alias("number")).distinct())
+        texts = texts.join(numbers, number == F.col("number"), "left_semi")
+    else:
+        texts = join_documents(texts, wanted, "left_semi")
+    return texts.dropDuplicates(["id", "mark"])
+
+
 def unpacked(keyed: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
     """The columns of ``docs`` from ``row``, some of them changed."""
     return keyed.select(

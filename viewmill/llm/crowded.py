@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewmill.llm.common import join_documents, staged
+from viewmill.llm.common import documents_of, join_documents, staged
 from viewmill.llm.components import connected_components
 from viewmill.llm.words import shingle_sets
 
@@ -138,9 +138,7 @@ def completed_components(
     )
     both = asked.unionByName(others)
     order = [*where, "block", "part"]
-    # The size of a written table is known when joins are planned: documents are not shuffled for a few rows of them.
-    wanted = rows.select("id", "mark").distinct()
-    texts = join_documents(keyed.select("id", "mark", "text"), wanted, "left_semi").dropDuplicates(["id", "mark"])
+    texts = documents_of(keyed, rows)
     found = (
         join_documents(both, texts, "inner")
         .select(*order, "asked", "c1", "c2", "k1", "k2", "text")

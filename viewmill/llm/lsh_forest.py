@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewmill.llm.common import join_documents, staged, unpacked, with_key
+from viewmill.llm.common import documents_of, join_documents, staged, unpacked, with_key
 from viewmill.llm.components import connected_components
 from viewmill.llm.crowded import completed_components
 from viewmill.llm.words import mix, shingle_sets
@@ -241,9 +241,7 @@ def near_duplicate_groups(
         .select("region", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), "n", "f.*")
     )
     members = members.unionByName(firsts).drop("n").distinct()
-    texts = keyed.select("id", "mark", "text")
-    wanted = members.select("id", "mark").distinct()
-    texts = join_documents(texts, wanted, "left_semi").dropDuplicates(["id", "mark"])
+    texts = documents_of(keyed, members)
     found = (
         join_documents(members, texts, "inner")
         .select("region", "part", "label", "c1", "c2", "text")

@@ -196,6 +196,20 @@ def test_totals_of_long_arrays(spark):
         assert got == [sum(range(i)) for i in range(n)]
 
 
+# --- hashes of words -----------------------------------------------------------------------------
+
+
+def test_long_words_of_two_letters_are_told_apart(as_query, spark):
+    """Words whose sums of powers of any odd factor are equal: no passage repeats and no documents link."""
+    word = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*rest[:17], w, *rest[17:]]) for w in (word, other)] + [" ".join([w] * 4) for w in (word, other)]
+    table = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"]: r["n_removed"] for r in as_query("op9", documents=table).collect()} == dict.fromkeys(range(4), 0)
+    assert all(r["component_id"] == r["doc_id"] for r in as_query("op4", documents=table).collect())
+
+
 # --- near duplicates --------------------------------------------------------------------------
 
 

@@ -11,8 +11,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 GROUP_BYTES = 1 << 20
+#: Words of more bytes are hashed one by one: sums of powers are equal for some long words of two letters.
+LONG_WORD = 32
 _U = np.uint64
 _BYTE_FACTOR, _WORD_FACTOR = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 
@@ -80,6 +83,9 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int, hashed: bool) -> W
     ends = np.flatnonzero(inside & ~after) + 1
     bounds = np.searchsorted(starts, offsets)
     hashes = slice_hashes(data, starts, ends, _BYTE_FACTOR) if hashed else None
+    if hashed:
+        for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+            hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
     return Words(data, first, bounds, starts, ends, offsets, hashes)
 
 

@@ -48,7 +48,8 @@ STAGES = [
     ("mixing", mixing_stage),
 ]
 
-#: Language ID has no SQL form, so neither has the pipeline; tests hold every stage against a brute-force version.
+#: Language ID has no SQL form, so neither has the pipeline; tests hold line dedup, near-dedup and
+#: decontamination against brute-force versions, and bound what language ID and mixing keep.
 ORACLE_SQL = None
 
 

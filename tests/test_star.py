@@ -78,6 +78,24 @@ def test_both_ways_to_find_stored_ids(store, monkeypatch, most):
     assert rows(store.table(FACT), "view_id") == [("v1",), ("v2",), ("v3",)]
 
 
+def test_views_of_one_partition_are_dealt_out(store, spark, monkeypatch):
+    """A load runs on all cores whatever partitions its views come in; few views stay together."""
+    parts, stage = [], star._stage
+
+    def counted(*args):
+        kept, release = stage(*args)
+        kept.count()
+        parts.append(kept.rdd.getNumPartitions())
+        return kept, release
+
+    monkeypatch.setattr(star, "_stage", counted)
+    ids = spark.range(0, 60_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("view_id"))
+    many = views(spark, {}).drop("view_id").crossJoin(ids).coalesce(1)
+    assert load_star(store, many, "a", home(spark), INTERNAL)[FACT] == 60_000
+    load(store, "b", {})
+    assert parts[0] > 1 and parts[1] == 1
+
+
 def test_compaction(store, spark, tmp_path):
     load(store, "a", {})
     assert load(store, "b", {}, {"id": "v2", "local_time": "2024-01-06 10:00:00"})[FACT] == 1

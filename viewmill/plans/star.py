@@ -81,8 +81,13 @@ def load_star(
     options: LoadOptions = LoadOptions(),
     inserted_at: datetime | None = None,
 ) -> dict[str, int]:
-    """Enrich ``views`` and load them, see :func:`load_enriched`."""
-    enriched = enrich(views, ranges, internal_keywords, options.broadcast_ranges)
+    """Enrich ``views`` and load them, see :func:`load_enriched`.
+
+    Enrichment, and all that reads its result, would run in the partitions ``views`` come in, be it a single one, as of a
+    file that cannot be split. They are dealt out first, while rows are short, into as many parts as there are cores, or
+    into more of the advisory size; few views stay together.
+    """
+    enriched = enrich(views.hint("rebalance"), ranges, internal_keywords, options.broadcast_ranges)
     return load_enriched(store, enriched, load_id, options, inserted_at)
 
 

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # The same for tables that are kept in memory, which every job on them reads partition by partition.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     # The JVM never compiles methods beyond 8,000 bytes, and the fused code of all enrichments is
     # longer than that. With this limit Spark generates it operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -78,6 +78,23 @@ def test_both_ways_to_find_stored_ids(store, monkeypatch, most):
     assert rows(store.table(FACT), "view_id") == [("v1",), ("v2",), ("v3",)]
 
 
+def test_stored_ids_are_not_broadcast_for_many_views(store, monkeypatch):
+    """How small the files of ids are says little of their number."""
+    monkeypatch.setattr(star, "BROADCAST_VIEW_IDS", 0)
+    plans, add = [], StarStore.add_rows
+
+    def noted(self, name, rows, load_id):
+        if name == FACT:
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        add(self, name, rows, load_id)
+
+    monkeypatch.setattr(StarStore, "add_rows", noted)
+    load(store, "a", {}, {"id": "v2"})
+    assert load(store, "b", {}, {"id": "v3"})[FACT] == 1
+    joins = [line for line in plans[1].splitlines() if "LeftAnti" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_views_of_one_partition_are_dealt_out(store, spark, monkeypatch):
     """A load runs on all cores whatever partitions its views come in; few views stay together."""
     parts, stage = [], star._stage

@@ -180,8 +180,10 @@ def _load_fact(store: StarStore, valid: DataFrame, load_id: str, size: Row, inse
         stored = stored_matches(store, span, loads).join(F.broadcast(valid.select("view_id")), "view_id", "left_semi")
         new = absent_rows(new, stored, FACT.key)
     else:
+        # Merged, whatever size Spark expects: as files, ids in order are far smaller than in memory, and would be
+        # broadcast by the million.
         for part in store.read_parts(VIEW_IDS.name, loads_to_read(span, loads)):
-            new = absent_rows(new, part.filter(span.may_hold("view_id")), FACT.key)
+            new = absent_rows(new, part.filter(span.may_hold("view_id")).hint("merge"), FACT.key)
     now = F.current_timestamp() if inserted_at is None else F.lit(inserted_at)
     store.add_rows(FACT.name, new.withColumn("inserted_at", now.cast("timestamp")), load_id)
 
